@@ -54,7 +54,7 @@ def order_fact(
 def _look_up(
     lines: DataFrame, line_key: str, dimension: DataFrame, key: str, hot: Sequence[str]
 ) -> DataFrame:
-    spread = spread_key(F.col(line_key), F.col("order_id"), F.col("order_date"), F.col("profit"))
+    spread = spread_key(F.col(line_key), F.col("order_id"), F.col("profit"))
     matches = (spread == F.col(key)) & F.col(line_key).isNotNull()
     if not hot:
         return lines.join(dimension, matches, "left")
@@ -110,10 +110,13 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
 
 
 def hot_dimension_keys(dimension: DataFrame, key: str, at_least: int = 100_000) -> list[str]:
-    """Keys that hold over a thousandth of the dimension's rows, and over ``at_least``.
+    """Keys that hold over a thousandth of the repeated rows, and over ``at_least`` rows.
 
     There can be no more than a thousand of them, so the list is safe on the driver.
     """
-    threshold = max(at_least, dimension.count() // HOT_SHARE)
-    hot = repeated_keys(dimension, key).where(F.col("copies") > threshold).select(key)
-    return [row[0] for row in hot.collect()]
+    repeated = repeated_keys(dimension, key)
+    most, total = repeated.agg(F.max("copies"), F.sum("copies")).first()
+    threshold = max(at_least, (total or 0) // HOT_SHARE)
+    if most is None or most <= threshold:
+        return []
+    return [row[0] for row in repeated.where(F.col("copies") > threshold).collect()]

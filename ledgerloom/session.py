@@ -23,6 +23,8 @@ def build_session(
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Join by hash, without sorting the order lines, where a dimension's partitions are small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         **(conf or {}),
     }
     for key, value in settings.items():

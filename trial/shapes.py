@@ -1,4 +1,4 @@
-"""The driver's tables in the shape of the three source files.
+"""The driver's tables as the mart's typed tables, and those as the three source files.
 
 Every shape covers its whole tables. Profit has no counterpart there; the line's price
 times the difference of its tax and discount rates stands in for it, worked out as an
@@ -10,29 +10,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom import CUSTOMERS, ORDERS, PRODUCTS, conform
+from ledgerloom import CUSTOMERS, ORDERS, PRODUCTS
+from ledgerloom.tables import Table
+
+
+# The schemas of the driver's tables, so that no file is opened to plan a query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _day_first(column: str) -> Column:
-    return F.date_format(F.col(column).cast("date"), "d/M/yyyy")
+# typed tables
 
 
-def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("Product ID"),
-        F.col("p_type").alias("Category"),
-        F.col("p_brand").alias("Sub-Category"),
-        F.col("p_name").alias("Product Name"),
-        F.lit(None).cast("string").alias("State"),
-        F.col("p_retailprice").cast("decimal(10,2)").cast("string").alias("Price Per Product"),
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_type").alias("category"),
+        F.col("p_brand").alias("sub_category"),
+        F.col("p_name").alias("product_name"),
+        F.lit(None).cast("string").alias("state"),
+        F.col("p_retailprice").alias("price_per_product"),
     )
 
 
-def customers_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -41,22 +57,22 @@ def customers_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
-            F.col("c_custkey").cast("string").alias("Customer ID"),
-            F.col("c_name").alias("Customer Name"),
+            F.col("c_custkey").cast("string").alias("customer_id"),
+            F.col("c_name").alias("customer_name"),
             missing.alias("email"),
             missing.alias("phone"),
             missing.alias("address"),
-            F.col("c_mktsegment").alias("Segment"),
-            F.col("n_name").alias("Country"),
-            missing.alias("City"),
-            missing.alias("State"),
-            F.lpad(F.pmod("c_custkey", F.lit(100_000)).cast("string"), 5, "0").alias("Postal Code"),
-            F.col("r_name").alias("Region"),
+            F.col("c_mktsegment").alias("segment"),
+            F.col("n_name").alias("country"),
+            missing.alias("city"),
+            missing.alias("state"),
+            F.pmod("c_custkey", F.lit(100_000)).cast("int").alias("postal_code"),
+            F.col("r_name").alias("region"),
         )
     )
 
 
-def orders_source(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     """Order lines. With ``gaps``, part-filled orders have no customer and returned lines
     name a product no catalogue has, about a third of the lines each."""
     lines = table(spark, sf_dir, "lineitem")
@@ -71,32 +87,20 @@ def orders_source(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataF
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     margin = F.col("l_tax").cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_linenumber").alias("Row ID"),
-        F.col("o_orderkey").cast("string").alias("Order ID"),
-        _day_first("o_orderdate").alias("Order Date"),
-        _day_first("l_shipdate").alias("Ship Date"),
-        F.col("o_orderpriority").alias("Ship Mode"),
-        customer_id.alias("Customer ID"),
-        product_id.alias("Product ID"),
-        F.col("l_quantity").cast("int").alias("Quantity"),
-        F.col("l_extendedprice").alias("Price"),
-        F.col("l_discount").alias("Discount"),
-        (price * margin).cast("double").alias("Profit"),
+        F.col("l_linenumber").alias("row_id"),
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("l_shipdate").cast("date").alias("ship_date"),
+        F.col("o_orderpriority").alias("ship_mode"),
+        customer_id.alias("customer_id"),
+        product_id.alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("discount"),
+        (price * margin).cast("double").alias("profit"),
     )
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(products_source(spark, sf_dir), PRODUCTS)
-
-
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(customers_source(spark, sf_dir), CUSTOMERS)
-
-
-def orders(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
-    return conform(orders_source(spark, sf_dir, gaps), ORDERS)
-
-
 def products_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every product listed for two states."""
     return products(spark, sf_dir).withColumn("state", F.explode(F.array(F.lit("NY"), F.lit("CA"))))
@@ -107,3 +111,29 @@ def products_with_hot_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = products(spark, sf_dir)
     shared = listed.where("category = 'PROMO'").withColumn("product_id", F.lit("0"))
     return listed.unionByName(shared)
+
+
+# source shapes
+
+
+def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.col("price_per_product").cast("decimal(10,2)").cast("string")
+    return _as_source(products(spark, sf_dir), PRODUCTS, price_per_product=price)
+
+
+def customers_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postal_code = F.lpad(F.col("postal_code").cast("string"), 5, "0")
+    return _as_source(customers(spark, sf_dir), CUSTOMERS, postal_code=postal_code)
+
+
+def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_source(
+        orders(spark, sf_dir),
+        ORDERS,
+        order_date=F.date_format("order_date", "d/M/yyyy"),
+        ship_date=F.date_format("ship_date", "d/M/yyyy"),
+    )
+
+
+def _as_source(df: DataFrame, table: Table, **texts: Column) -> DataFrame:
+    return df.select([texts.get(c.name, F.col(c.name)).alias(c.source) for c in table.columns])
