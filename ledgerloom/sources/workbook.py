@@ -25,8 +25,10 @@ from ledgerloom.tables import Table
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_BATCH = 5000
+DIGITS = "0123456789"
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+VALUE, INLINE, TEXT, RUN = (MAIN + tag for tag in ("v", "is", "t", "r"))
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 # Cell texts that mean "no value".
@@ -118,14 +120,18 @@ def filled_rows(book: ZipFile) -> Iterator[tuple[int, dict[int, str | None]]]:
 def sheet_rows(book: ZipFile) -> Iterator[tuple[int, dict[int, str | None]]]:
     """(row number, {column number: text}) for each stored row of the first sheet."""
     shared = shared_texts(book)
+    numbers: dict[str, int] = {}
     number = 0
     with book.open(first_sheet(book)) as stream:
         for element in finished(stream, MAIN + "row", MAIN + "sheetData"):
             number = int(element.get("r", number + 1))
             cells: dict[int, str | None] = {}
             column = 0
-            for cell in element.iterfind(MAIN + "c"):
-                column = column_number(cell.get("r")) or column + 1
+            for cell in element:
+                letters = cell.get("r", "").rstrip(DIGITS)
+                if letters not in numbers:
+                    numbers[letters] = column_number(letters)
+                column = numbers[letters] or column + 1
                 cells[column] = cell_text(cell, shared)
             yield number, cells
 
@@ -141,21 +147,22 @@ def finished(stream, tag: str, parent_tag: str) -> Iterator[ElementTree.Element]
             parent.clear()
 
 
-def column_number(reference: str | None) -> int:
-    """2 for ``B7``."""
+def column_number(letters: str) -> int:
+    """2 for ``B``."""
     number = 0
-    for letter in reference or "":
-        if not letter.isalpha():
-            break
-        number = number * 26 + ord(letter.upper()) - ord("A") + 1
+    for letter in letters:
+        number = number * 26 + ord(letter) - ord("A") + 1
     return number
 
 
 def cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
     kind = cell.get("t", "n")
-    if kind == "inlineStr":
-        return plain_text(cell.find(MAIN + "is"))
-    value = cell.findtext(MAIN + "v")
+    value = None
+    for part in cell:
+        if part.tag == VALUE:
+            value = part.text
+        elif part.tag == INLINE and kind == "inlineStr":
+            return plain_text(part)
     if value is None:
         return ""
     if kind == "s":
@@ -174,11 +181,11 @@ def number_text(value: str) -> str:
     return str(int(number)) if number.is_integer() else str(number)
 
 
-def plain_text(element: ElementTree.Element | None) -> str:
+def plain_text(item: ElementTree.Element) -> str:
     """The text of a string item: its own text or that of its runs, without reading aids."""
-    if element is None:
-        return ""
-    parts = element.findall(MAIN + "t") + element.findall(f"{MAIN}r/{MAIN}t")
+    if len(item) == 1 and item[0].tag == TEXT:
+        return item[0].text or ""
+    parts = item.findall(TEXT) + item.findall(f"{RUN}/{TEXT}")
     return "".join(part.text or "" for part in parts)
 
 

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from ledgerloom import CUSTOMERS, ORDERS, PRODUCTS, empty_table, read_csv, read_json, read_workbooks
+from ledgerloom.sources.workbook import table_batches
 from tests.conftest import bag, rows
 from trial.files import pack
 
@@ -193,6 +197,22 @@ def test_workbook_sheet_with_absolute_target(spark, tmp_path):
     assert read_book(spark, tmp_path, content)[0][0] == "C1"
 
 
+def test_workbook_tasks_need_no_copy_of_the_package(tmp_path):
+    task = tmp_path / "task.pickle"
+    task.write_bytes(cloudpickle.dumps(table_batches))
+    content = tmp_path / "Customer.xlsx"
+    content.write_bytes(book(f'<row r="2">{text("A2", "C1")}</row>'))
+    script = (
+        "import pickle, zipfile\n"
+        "read = pickle.load(open('task.pickle', 'rb'))\n"
+        f"print([b.num_rows for b in read(zipfile.ZipFile('Customer.xlsx'), {NAMES})])\n"
+    )
+    ran = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert ran.stdout.strip() == "[1]"
+
+
 def test_many_workbooks_with_many_rows(spark, tmp_path):
     folder = tmp_path / "customers"
     folder.mkdir()
