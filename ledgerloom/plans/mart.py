@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from typing import Literal, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 
 from ledgerloom.layers import Layer, Staging, load_table, store_table, table_path
 from ledgerloom.operators import rollups
-from ledgerloom.operators.conform import OnBadValue, conform
+from ledgerloom.operators.conform import OnBadValue, conform, watch_bad_values
 from ledgerloom.operators.fact import hot_dimension_keys, order_fact
 from ledgerloom.sources import read_csv, read_json, read_workbooks
 from ledgerloom.tables import CUSTOMERS, ORDER_FACT, ORDERS, PRODUCTS, PROFIT_INFO_SCHEMA, Table
@@ -23,6 +27,9 @@ class Mart:
     ``policy="strict"`` raises every error. ``policy="lenient"`` follows the older
     contract: writers return False, readers of missing data return an empty typed
     frame, and rollups over a frame without the needed columns return None.
+
+    ``on_bad_value="null"`` types malformed values as null; ``bad_values`` then holds,
+    per enriched table and column, how many there were.
     """
 
     def __init__(
@@ -38,6 +45,7 @@ class Mart:
         self.data_dir = data_dir
         self.on_bad_value = on_bad_value
         self.staging = staging
+        self.bad_values: dict[str, dict[str, int]] = {}
         self.on_missing = "empty" if lenient else "raise"
         self.on_error = "flag" if lenient else "raise"
         self.on_bad_frame = "none" if lenient else "raise"
@@ -129,7 +137,7 @@ class Mart:
     def _file(self, name: str) -> str:
         return f"{self.data_dir.rstrip('/')}/files/{name}"
 
-    def _load(self, layer: Layer, name: str, schema) -> DataFrame:
+    def _load(self, layer: Layer, name: str, schema: T.StructType) -> DataFrame:
         return load_table(
             self.spark, table_path(self.data_dir, layer, name), schema, self.on_missing
         )
@@ -138,11 +146,21 @@ class Mart:
         return self._store_built(layer, name, lambda: df)
 
     def _enrich(self, table: Table, df: DataFrame) -> bool:
-        return self._store_built(
-            "enriched", table.name, lambda: conform(df, table, self.on_bad_value)
+        if self.on_bad_value == "fail":
+            return self._store_built("enriched", table.name, lambda: conform(df, table))
+
+        counts = Observation()
+        stored = self._store_built(
+            "enriched",
+            table.name,
+            lambda: conform(watch_bad_values(df, table, counts), table, "null"),
         )
+        if stored:
+            self.bad_values[table.name] = counts.get
+            log.warning("malformed values in %s: %s", table.name, counts.get)
+        return stored
 
-    def _store_built(self, layer: Layer, name: str, build) -> bool:
+    def _store_built(self, layer: Layer, name: str, build: Callable[[], DataFrame]) -> bool:
         try:
             df = build()
         except Exception:
@@ -172,19 +190,29 @@ def build_mart(
     """Files to raw, raw to enriched, enriched to the fact, the fact to its rollups.
 
     Source files are parsed once: the enriched tables are built from the stored raw
-    tables, which are columnar and split where the files may not be. Every error is
-    raised, so nothing is built from a table that failed. The rollups are returned
-    lazily and read only the fact columns they use.
+    tables, which are columnar and split where the files may not be. The three sources
+    do not depend on each other and share the cluster. Every error is raised, so nothing
+    is built from a table that failed. The rollups are returned lazily and read only the
+    fact columns they use.
     """
     mart = Mart(spark, data_dir, on_bad_value=on_bad_value, staging=staging)
 
-    mart.write_products_raw(mart.read_products_csv())
-    mart.write_customers_raw(mart.read_customers_excel())
-    mart.write_orders_raw(mart.read_orders_json())
+    def products() -> None:
+        mart.write_products_raw(mart.read_products_csv())
+        mart.write_products_enriched(mart.read_raw(PRODUCTS))
+
+    def customers() -> None:
+        mart.write_customers_raw(mart.read_customers_excel())
+        mart.write_customers_enriched(mart.read_raw(CUSTOMERS))
+
+    def orders() -> None:
+        mart.write_orders_raw(mart.read_orders_json())
+        mart.write_orders_enriched(mart.read_raw(ORDERS))
 
-    mart.write_products_enriched(mart.read_raw(PRODUCTS))
-    mart.write_customers_enriched(mart.read_raw(CUSTOMERS))
-    mart.write_orders_enriched(mart.read_raw(ORDERS))
+    with ThreadPoolExecutor() as pool:
+        steps = [inheritable_thread_target(spark)(step) for step in (orders, customers, products)]
+        for step in [pool.submit(step) for step in steps]:
+            step.result()
 
     mart.create_order_fact(
         customers_df=mart.read_customers_enriched(),

@@ -6,17 +6,23 @@ import os
 
 import pytest
 
-from ledgerloom import CUSTOMERS, ORDER_FACT, ORDERS, PRODUCTS, PROFIT_INFO_SCHEMA, Mart, build_mart
-from tests.conftest import CUSTOMER_ROWS, ORDER_ROWS, PRODUCT_ROWS, bag, rows
-from tests.test_rollups import EXPECTED
-from trial.files import workbook
 from ledgerloom import (
+    CUSTOMERS,
+    ORDER_FACT,
+    ORDERS,
+    PRODUCTS,
+    PROFIT_INFO_SCHEMA,
+    Mart,
+    build_mart,
     profit_by_customer,
     profit_by_customer_and_year,
     profit_by_year,
     profit_by_year_and_category,
     profit_info,
 )
+from tests.conftest import CUSTOMER_ROWS, ORDER_ROWS, PRODUCT_ROWS, bag, rows
+from tests.test_rollups import EXPECTED
+from trial.files import workbook
 
 logging.getLogger("ledgerloom").setLevel(logging.CRITICAL)
 
@@ -93,6 +99,17 @@ def test_bad_value_can_become_null(spark, data_dir):
     }
 
 
+@pytest.mark.parametrize(
+    ("codes", "count"), [(["K1A 0B1", "1", None, "x"], 2), (["1"], 0), ([], 0)]
+)
+def test_bad_values_that_became_null_are_reported(spark, data_dir, codes, count):
+    schema = CUSTOMERS.source_schema
+    values = [tuple(code if n == "Postal Code" else n for n in schema.names) for code in codes]
+    mart = Mart(spark, data_dir, on_bad_value="null")
+    mart.write_customers_enriched(spark.createDataFrame(values, schema))
+    assert mart.bad_values == {"customers": {"postal_code": count}}
+
+
 def test_missing_source_stops_the_build(spark, data_dir):
     write_files(data_dir)
     os.remove(f"{data_dir}/files/Customer.xlsx")
