@@ -53,13 +53,15 @@ LEFT JOIN ({products}) p ON o.product_id = p.product_id"""
 
 
 YEAR = "CAST(year(order_date) AS INTEGER)"
+# The fact's profit is in whole cents, so decimals give the exact total to compare with.
+TOTAL_PROFIT = "CAST(sum(CAST(profit AS DECIMAL(18,2))) AS DOUBLE) AS total_profit"
 GAPS = _fact(ORDERS_WITH_GAPS)
 
 
 def _profit_info(fact: str) -> str:
     return f"""
 SELECT {YEAR} AS year, category AS product_category, sub_category AS product_sub_category,
-       customer_name AS customer, round(sum(profit), 2) AS total_profit,
+       customer_name AS customer, {TOTAL_PROFIT},
        count(order_id) AS order_count
 FROM ({fact}) f GROUP BY 1, 2, 3, 4"""
 
@@ -67,14 +69,14 @@ FROM ({fact}) f GROUP BY 1, 2, 3, 4"""
 PROFIT_INFO_NONNULL = f"""
 SELECT * FROM ({_profit_info(GAPS)}) i
 WHERE coalesce(product_category, product_sub_category) IS NOT NULL"""
-BY_YEAR = f"SELECT {YEAR} AS year, round(sum(profit), 2) AS total_profit FROM ({GAPS}) f GROUP BY 1"
+BY_YEAR = f"SELECT {YEAR} AS year, {TOTAL_PROFIT} FROM ({GAPS}) f GROUP BY 1"
 BY_YEAR_AND_CATEGORY = f"""
-SELECT {YEAR} AS year, category AS product_category, round(sum(profit), 2) AS total_profit
+SELECT {YEAR} AS year, category AS product_category, {TOTAL_PROFIT}
 FROM ({GAPS}) f WHERE category IS NOT NULL GROUP BY 1, 2"""
 BY_CUSTOMER = f"""
-SELECT customer_name AS customer, round(sum(profit), 2) AS total_profit FROM ({GAPS}) f GROUP BY 1"""
+SELECT customer_name AS customer, {TOTAL_PROFIT} FROM ({GAPS}) f GROUP BY 1"""
 BY_CUSTOMER_AND_YEAR = f"""
-SELECT {YEAR} AS year, customer_name AS customer, round(sum(profit), 2) AS total_profit
+SELECT {YEAR} AS year, customer_name AS customer, {TOTAL_PROFIT}
 FROM ({GAPS}) f GROUP BY 1, 2"""
 
 
