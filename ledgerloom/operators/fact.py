@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import spread_key
 
 HOT_SHARE = 1000
-HOT_SLICES = 64
+SLICE_ROWS = 100_000
 COPY_BLOCK = 1000
 
 ORDER_COLUMNS = ["order_id", "order_date", "ship_date", "ship_mode", "quantity", "price", "discount"]
@@ -59,35 +59,43 @@ def _look_up(
     if not hot:
         return lines.join(dimension, matches, "left")
 
-    # Equal dimension rows become one row with a count. What is left of a hot key is
-    # dealt out by its attributes, and its order lines are repeated once per slice.
-    hot_line = F.coalesce(F.col(line_key).isin(*hot), F.lit(False))
+    # Equal dimension rows become one row with a count. If a hot key still has very many
+    # rows they are dealt out by their attributes over slices, and its order lines are
+    # repeated once per slice. There is one row of ``slices`` per hot key at most, so it
+    # can be broadcast; a key that turns out not to be hot has one slice.
     attributes = [c for c in dimension.columns if c != key]
-    sliced_dimension = (
-        dimension.groupBy(*dimension.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn(
-            "_dimension_slice",
-            F.when(
-                F.col(key).isin(*hot), F.pmod(F.xxhash64(*attributes), F.lit(HOT_SLICES)).cast("int")
-            ).otherwise(0),
-        )
+    slices = (
+        dimension.where(F.col(key).isin(*hot))
+        .groupBy(F.col(key).alias("_hot_key"))
+        .agg(F.count_distinct(F.struct(*attributes)).alias("_rows"))
+        .select("_hot_key", F.ceil(F.col("_rows") / SLICE_ROWS).cast("int").alias("_slices"))
     )
-    sliced_lines = lines.withColumn("_hot", hot_line).withColumn(
-        "_line_slice",
-        F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), HOT_SLICES - 1).otherwise(0))),
+    slice_count = F.coalesce(F.col("_slices"), F.lit(1))
+    merged = dimension.groupBy(*dimension.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    sliced_dimension = merged.join(
+        F.broadcast(slices), F.col(key) == F.col("_hot_key"), "left"
+    ).select(
+        *merged.columns,
+        F.pmod(F.xxhash64(*attributes), slice_count).cast("int").alias("_dimension_slice"),
+    )
+    sliced_lines = lines.join(
+        F.broadcast(slices), F.col(line_key) == F.col("_hot_key"), "left"
+    ).select(
+        *lines.columns,
+        slice_count.alias("_slice_count"),
+        F.explode(F.sequence(F.lit(0), slice_count - 1)).alias("_line_slice"),
     )
     joined = sliced_lines.join(
         sliced_dimension, matches & (F.col("_line_slice") == F.col("_dimension_slice")), "left"
     )
-    # A hot key has a match by definition, so its slices without one add nothing.
-    found = joined.where(~F.col("_hot") | F.col(key).isNotNull())
+    # A key with several slices has a match in some of them; the others add nothing.
+    found = joined.where((F.col("_slice_count") == 1) | F.col(key).isNotNull())
     return _repeat(found, F.coalesce(F.col("_copies"), F.lit(1))).drop(
-        "_hot", "_line_slice", "_dimension_slice", "_copies"
+        "_slice_count", "_line_slice", "_dimension_slice", "_copies"
     )
 
 
-def _repeat(df: DataFrame, times) -> DataFrame:
+def _repeat(df: DataFrame, times: Column) -> DataFrame:
     """Every row ``times`` times, in two steps so that neither array grows with the count."""
     block = F.lit(COPY_BLOCK)
     blocks = df.withColumn("_times", times).withColumn(

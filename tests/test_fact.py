@@ -129,8 +129,11 @@ def by_hand(orders, customers, products):
 
 
 @pytest.mark.parametrize("broadcast", ["-1", "10MB"])
-@pytest.mark.parametrize("hot", [[], ["HOT"], ["HOT", "P3", "unused"]])
-def test_skewed_tables_against_brute_force(spark, broadcast, hot):
+@pytest.mark.parametrize("slice_rows", [100_000, 2, 1])
+@pytest.mark.parametrize("hot", [[], ["HOT"], ["HOT", "P3", "P19", "unused"]])
+def test_skewed_tables_against_brute_force(spark, monkeypatch, broadcast, hot, slice_rows):
+    """P19 is ordered but not in the catalogue, so calling it hot must not lose its lines."""
+    monkeypatch.setattr("ledgerloom.operators.fact.SLICE_ROWS", slice_rows)
     orders, customers, products = skewed(spark)
     saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
