@@ -66,7 +66,12 @@ def _write_and_swap(df: DataFrame, path: str) -> None:
         return
     replaced = paths.sibling(path, "old")
     paths.rename(spark, path, replaced)
-    paths.rename(spark, staged, path)
+    try:
+        paths.rename(spark, staged, path)
+    except Exception:
+        paths.rename(spark, replaced, path)
+        paths.delete(spark, staged)
+        raise
     paths.delete(spark, replaced)
 
 

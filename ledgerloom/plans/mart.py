@@ -30,6 +30,9 @@ class Mart:
 
     ``on_bad_value="null"`` types malformed values as null; ``bad_values`` then holds,
     per enriched table and column, how many there were.
+
+    With ``multi_line`` off, CSV and JSON files have one record per line and large ones
+    are split over many tasks.
     """
 
     def __init__(
@@ -39,12 +42,14 @@ class Mart:
         policy: Literal["strict", "lenient"] = "strict",
         on_bad_value: OnBadValue = "fail",
         staging: Staging = "swap",
+        multi_line: bool = True,
     ) -> None:
         lenient = policy == "lenient"
         self.spark = spark
         self.data_dir = data_dir
         self.on_bad_value = on_bad_value
         self.staging = staging
+        self.multi_line = multi_line
         self.bad_values: dict[str, dict[str, int]] = {}
         self.on_missing = "empty" if lenient else "raise"
         self.on_error = "flag" if lenient else "raise"
@@ -53,13 +58,25 @@ class Mart:
     # sources
 
     def read_products_csv(self, file: str = "Products.csv") -> DataFrame:
-        return read_csv(self.spark, self._file(file), PRODUCTS, on_missing=self.on_missing)
+        return read_csv(
+            self.spark,
+            self._file(file),
+            PRODUCTS,
+            multi_line=self.multi_line,
+            on_missing=self.on_missing,
+        )
 
     def read_customers_excel(self, file: str = "Customer.xlsx") -> DataFrame:
         return read_workbooks(self.spark, self._file(file), CUSTOMERS, on_missing=self.on_missing)
 
     def read_orders_json(self, file: str = "Orders.json") -> DataFrame:
-        return read_json(self.spark, self._file(file), ORDERS, on_missing=self.on_missing)
+        return read_json(
+            self.spark,
+            self._file(file),
+            ORDERS,
+            multi_line=self.multi_line,
+            on_missing=self.on_missing,
+        )
 
     # raw layer
 
@@ -186,6 +203,7 @@ def build_mart(
     data_dir: str,
     on_bad_value: OnBadValue = "fail",
     staging: Staging = "swap",
+    multi_line: bool = True,
 ) -> MartTables:
     """Files to raw, raw to enriched, enriched to the fact, the fact to its rollups.
 
@@ -195,7 +213,9 @@ def build_mart(
     is built from a table that failed. The rollups are returned lazily and read only the
     fact columns they use.
     """
-    mart = Mart(spark, data_dir, on_bad_value=on_bad_value, staging=staging)
+    mart = Mart(
+        spark, data_dir, on_bad_value=on_bad_value, staging=staging, multi_line=multi_line
+    )
 
     def products() -> None:
         mart.write_products_raw(mart.read_products_csv())

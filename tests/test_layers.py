@@ -64,6 +64,24 @@ def test_failed_store_keeps_the_old_table(spark, path, old, broken):
     assert leftovers(path) == []
 
 
+def test_failed_rename_brings_the_old_table_back(spark, path, old, monkeypatch):
+    from ledgerloom import paths
+
+    store_table(old, path)
+    rename = paths.rename
+
+    def fail_on_new(spark, source, target):
+        if "_new-" in source:
+            raise OSError("no rename")
+        rename(spark, source, target)
+
+    monkeypatch.setattr(paths, "rename", fail_on_new)
+    with pytest.raises(OSError):
+        store_table(old.where("k = 1"), path)
+    assert bag(load_table(spark, path, SCHEMA)) == [(1, "a"), (2, "b")]
+    assert leftovers(path) == []
+
+
 def test_failed_direct_store_counts_as_missing(spark, path, old, broken):
     store_table(old, path)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

@@ -73,6 +73,17 @@ def test_building_again_replaces_every_table(spark, data_dir):
     assert build_mart(spark, data_dir).order_fact.count() == 3
 
 
+def test_files_with_one_record_per_line(spark, data_dir):
+    write_files(data_dir)
+    path = f"{data_dir}/files/Orders.json"
+    with open(path) as f:
+        records = json.load(f)
+    with open(path, "w") as f:
+        f.writelines(json.dumps(record) + "\n" for record in records)
+    tables = build_mart(spark, data_dir, multi_line=False)
+    assert bag(tables.profit_info) == sorted(EXPECTED[profit_info], key=repr)
+
+
 def test_stored_profit_info_is_sorted(spark, data_dir, fact):
     mart = Mart(spark, data_dir)
     mart.create_profit_info(fact)
