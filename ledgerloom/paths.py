@@ -38,15 +38,6 @@ def sibling(location: str, role: str) -> str:
     return f"{parent}/{hidden}" if parent else hidden
 
 
-def qualified(spark: SparkSession, location: str) -> str:
-    """``location`` with its scheme, e.g. ``file:///tmp/x``, for readers outside the JVM."""
-    fs, path = _resolve(spark, location)
-    uri = fs.makeQualified(path).toString()
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        return "file:///" + uri[len("file:/") :]
-    return uri
-
-
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 

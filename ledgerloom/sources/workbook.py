@@ -60,11 +60,12 @@ NULL_TEXTS = frozenset(
 def read_workbooks(
     spark: SparkSession, path: str, table: Table, on_missing: OnMissing = "raise"
 ) -> DataFrame:
-    """The first sheet of every workbook at ``path``, all columns as text.
+    """The first sheet of the workbook at ``path``, or of every one in that folder, as text.
 
-    The first row names the columns. They are matched by name, columns the table does
-    not have are ignored, and a missing one fails the job. Numbers become text, whole
-    ones without a decimal point; dates stored as numbers stay serial numbers.
+    Empty files, such as the folder marks of object stores, are passed over. The first
+    row names the columns. They are matched by name, columns the table does not have are
+    ignored, and a missing one fails the job. Numbers become text, whole ones without a
+    decimal point; dates stored as numbers stay serial numbers.
     """
     schema = table.source_schema
     names = schema.names
@@ -76,7 +77,7 @@ def read_workbooks(
                     yield from table_batches(book, names)
 
     def read() -> DataFrame:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xls[xm]").load(path)
+        files = spark.read.format("binaryFile").load(path).where("length > 0")
         return files.select("content").mapInArrow(sheets, schema)
 
     return or_empty(spark, schema, on_missing, read)

@@ -1,0 +1,43 @@
+"""The writers of source files, where tasks without rows leave empty files."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom import CUSTOMERS, ORDERS, PRODUCTS, read_csv, read_json, read_workbooks
+from tests.conftest import bag
+from trial import files
+
+
+@pytest.mark.parametrize(
+    ("write", "read", "table"),
+    [
+        (files.write_csv, read_csv, PRODUCTS),
+        (files.write_json_arrays, read_json, ORDERS),
+        (files.write_workbooks, read_workbooks, CUSTOMERS),
+    ],
+)
+@pytest.mark.parametrize("kept", [[], [3], [0, 1, 2, 3]])
+def test_files_come_back_whole(spark, tmp_path, monkeypatch, write, read, table, kept):
+    monkeypatch.setattr(files, "ROWS_PER_WORKBOOK", 2)
+    number = F.col("id").cast("string")
+    values = {
+        "string": F.concat(F.lit("<a> & \"b\"\n'c', "), number),
+        "int": F.col("id").cast("int"),
+        "double": F.col("id") / 4,
+    }
+    every_partition = spark.range(0, 20, numPartitions=4).where(
+        F.spark_partition_id().isin(kept) if kept else F.lit(False)
+    )
+    df = every_partition.select(
+        [values[c.source_type.simpleString()].alias(c.source) for c in table.columns]
+    )
+    path = str(tmp_path / "out")
+    write(df, path)
+    assert bag(read(spark, path, table)) == bag(df)
+    assert df.count() == 5 * len(kept)
+
+
+def test_workbook_columns_go_past_z():
+    assert [files.letters(n) for n in (1, 26, 27, 52, 703)] == ["A", "Z", "AA", "AZ", "AAA"]

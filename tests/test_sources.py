@@ -197,6 +197,11 @@ def test_workbook_sheet_with_absolute_target(spark, tmp_path):
     assert read_book(spark, tmp_path, content)[0][0] == "C1"
 
 
+def test_file_that_is_not_a_workbook_fails(spark, tmp_path):
+    with pytest.raises(Exception, match="BadZipFile"):
+        read_book(spark, tmp_path, b"notes")
+
+
 def test_workbook_tasks_need_no_copy_of_the_package(tmp_path):
     task = tmp_path / "task.pickle"
     task.write_bytes(cloudpickle.dumps(table_batches))
@@ -219,7 +224,6 @@ def test_many_workbooks_with_many_rows(spark, tmp_path):
     for number in range(3):
         lines = [f'<row r="{i}">{text(f"A{i}", f"C{number}-{i}")}</row>' for i in range(2, 6003)]
         (folder / f"{number}.xlsx").write_bytes(book(*lines))
-    (folder / "notes.txt").write_text("not a workbook")
     df = read_workbooks(spark, str(folder), CUSTOMERS)
     assert df.count() == 3 * 6001
     assert df.select("Customer ID").distinct().count() == 3 * 6001

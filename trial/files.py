@@ -9,13 +9,10 @@ from io import BytesIO
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyarrow import fs
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom import paths
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_WORKBOOK = 100_000
@@ -47,27 +44,21 @@ def array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def write_workbooks(df: DataFrame, path: str) -> None:
-    """Workbooks of a bounded number of rows, written by the tasks that hold the rows.
+    """Workbooks of a bounded number of rows, one file each.
 
-    A file's name depends on its task only, so a retried task replaces its own files.
+    The text sink writes a value's bytes as they are and commits files as for any other
+    table, wherever the folder is. It ends each file with a line break, which the zip
+    format allows.
     """
-    spark = df.sparkSession
-    target = paths.qualified(spark, path).replace("s3a://", "s3://", 1)
     names = df.columns
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, folder = fs.FileSystem.from_uri(target)
-        store.create_dir(folder)
-        context = TaskContext.get()
-        for number, rows in enumerate(chunks(batches, ROWS_PER_WORKBOOK)):
-            name = f"{folder}/customers-{context.partitionId():05d}-{number:05d}"
-            draft = f"{name}.{context.taskAttemptId()}.part"
-            with store.open_output_stream(draft) as stream:
-                stream.write(workbook(names, rows))
-            store.move(draft, f"{name}.xlsx")
-            yield pd.DataFrame({"rows": [len(rows)]})
-
-    df.mapInPandas(write, "rows long").write.format("noop").mode("overwrite").save()
+    def pack_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in chunks(batches, ROWS_PER_WORKBOOK):
+            yield pd.DataFrame({"content": [workbook(names, rows)]})
+
+    books = df.mapInPandas(pack_rows, "content binary")
+    bytes_as_text = books.select(F.col("content").cast("string").alias("value"))
+    bytes_as_text.write.option("maxRecordsPerFile", 1).text(path)
 
 
 def chunks(batches: Iterator[pd.DataFrame], size: int) -> Iterator[list[tuple]]:
