@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+SCRATCH = "ledgerloom"
+
 
 def _resolve(spark: SparkSession, location: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
@@ -18,6 +19,20 @@ def exists(spark: SparkSession, location: str) -> bool:
     return fs.exists(path)
 
 
+def holds_data(spark: SparkSession, location: str) -> bool:
+    """Whether the folder has a file that Spark would read, in it or in a partition folder."""
+    fs, path = _resolve(spark, location)
+    if not fs.exists(path):
+        return False
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith((".", "_")) and "=" not in name:
+            continue
+        if status.isFile() or holds_data(spark, status.getPath().toString()):
+            return True
+    return False
+
+
 def delete(spark: SparkSession, location: str) -> None:
     fs, path = _resolve(spark, location)
     fs.delete(path, True)
@@ -38,14 +53,32 @@ def sibling(location: str, role: str) -> str:
     return f"{parent}/{hidden}" if parent else hidden
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
+def scratch_root(spark: SparkSession) -> str:
+    """Where scratch tables go: below ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Where that is unset, below Hadoop's own folder for temporary data on the default file
+    system. On a cluster whose default file system is a local one, the setting is needed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        hadoop = spark._jsc.hadoopConfiguration()
+        local = hadoop.get("fs.defaultFS", "file:///").startswith("file:")
+        if local and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ledgerloom-")
-    return f"{root.rstrip('/')}/ledgerloom/{label}-{uuid.uuid4().hex}"
+        fs, path = _resolve(spark, hadoop.get("hadoop.tmp.dir"))
+        root = fs.makeQualified(path).toString()
+    return f"{root.rstrip('/')}/{SCRATCH}"
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder below ``scratch_root``.
+
+    A frame that is returned over tables in it still needs them; whoever has taken the
+    rows deletes the folder, or all of this application's with ``clear_scratch``.
+    """
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application."""
+    delete(spark, f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
