@@ -58,5 +58,55 @@ SELECT conv_id, count(*) AS n_turns,
        sum(chars) FILTER (role = 'assistant' OR nth = n)::BIGINT AS formatted_chars,
        count(*) FILTER (role = 'assistant' OR nth = n) AS n_examples
 FROM placed GROUP BY conv_id
+""",
+    "op2_host_rules": r"""
+WITH words AS (
+  SELECT doc_id, w, i FROM (
+    SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents))),
+windows AS (
+  SELECT doc_id, i, [w, lead(w, 1) OVER d, lead(w, 2) OVER d, lead(w, 3) OVER d, lead(w, 4) OVER d] AS g,
+         lead(i, 4) OVER d AS full_window
+  FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows
+    WHERE full_window IS NOT NULL) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(5) r(k) GROUP BY doc_id),
+counted AS (SELECT doc_id, count(*) AS n, sum(length(w)) AS chars FROM words GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, sum(n - 1) AS n FROM (
+    SELECT doc_id, line, count(*) AS n
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line)
+  GROUP BY doc_id),
+facts AS (
+  SELECT d.doc_id, d.source, coalesce(c.n, 0) AS n_words, coalesce(c.chars, 0) AS word_chars,
+         coalesce(len(regexp_extract_all(d.text, '[#*$%&|<>]')), 0) AS n_symbols,
+         coalesce(l.n, 0) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words
+  FROM documents d LEFT JOIN counted c USING (doc_id) LEFT JOIN lines l USING (doc_id)
+  LEFT JOIN covered v USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         base_failed OR 10 * n_symbols > word_chars OR 100 * n_dup_lines > 3 * n_words AS failed
+  FROM facts),
+counts AS (
+  SELECT source, count(*) AS host_docs, count(*) FILTER (failed) AS failures
+  FROM judged WHERE source IS NOT NULL GROUP BY source),
+moments AS (
+  SELECT avg(failures / host_docs) AS m, var_samp(failures / host_docs) AS v FROM counts),
+prior AS (
+  SELECT CASE WHEN v > 1e-9 AND v < m * (1 - m) THEN m ELSE 0.5 END AS m,
+         CASE WHEN v > 1e-9 AND v < m * (1 - m) THEN m * (1 - m) / v - 1 ELSE 2.0 END AS w
+  FROM moments),
+rates AS (
+  SELECT source, host_docs, round((failures + m * w) / (host_docs + w), 6) AS host_rate
+  FROM counts, prior)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+       n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(host_rate <= 0.5, true) AS kept, failed, host_docs, host_rate
+FROM judged LEFT JOIN rates USING (source)
 """,
 }
