@@ -108,5 +108,75 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND coalesce(host_rate <= 0.5, true) AS kept, failed, host_docs, host_rate
 FROM judged LEFT JOIN rates USING (source)
+""",
+    "op4_pii_checksums": r"""
+WITH
+email AS (
+  SELECT doc_id, 'email' AS kind, 0 AS kind_no, value,
+         (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda m: length(m))), 0))::INT AS start
+  FROM (
+    SELECT doc_id, gaps, found, unnest(found) AS value, generate_subscripts(found, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS found,
+                 regexp_split_to_array(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS gaps FROM documents))
+  WHERE true),
+ip AS (
+  SELECT doc_id, 'ip' AS kind, 1 AS kind_no, value,
+         (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda m: length(m))), 0))::INT AS start
+  FROM (
+    SELECT doc_id, gaps, found, unnest(found) AS value, generate_subscripts(found, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(text, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)') AS found,
+                 regexp_split_to_array(text, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)') AS gaps FROM documents))
+  WHERE list_max(list_transform(string_split(value, '.'), lambda p: p::HUGEINT)) <= 255),
+card AS (
+  SELECT doc_id, 'card' AS kind, 2 AS kind_no, value,
+         (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda m: length(m))), 0))::INT AS start
+  FROM (
+    SELECT doc_id, gaps, found, unnest(found) AS value, generate_subscripts(found, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(text, '[0-9](?:[ -]?[0-9])+') AS found,
+                 regexp_split_to_array(text, '[0-9](?:[ -]?[0-9])+') AS gaps FROM documents))
+  WHERE length(regexp_replace(value, '[ -]', '', 'g')) BETWEEN 14 AND 19
+    AND list_sum(list_transform(range(length(regexp_replace(value, '[ -]', '', 'g'))), lambda k: CASE
+      WHEN k % 2 = 0 THEN (reverse(regexp_replace(value, '[ -]', '', 'g')))[k + 1]::INT
+      WHEN (reverse(regexp_replace(value, '[ -]', '', 'g')))[k + 1]::INT > 4
+        THEN 2 * (reverse(regexp_replace(value, '[ -]', '', 'g')))[k + 1]::INT - 9
+      ELSE 2 * (reverse(regexp_replace(value, '[ -]', '', 'g')))[k + 1]::INT END)) % 10 = 0),
+phone AS (
+  SELECT doc_id, 'phone' AS kind, 3 AS kind_no, value,
+         (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda m: length(m))), 0))::INT AS start
+  FROM (
+    SELECT doc_id, gaps, found, unnest(found) AS value, generate_subscripts(found, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(text, '\+[0-9][ ().0-9-]+[0-9]') AS found,
+                 regexp_split_to_array(text, '\+[0-9][ ().0-9-]+[0-9]') AS gaps FROM documents))
+  WHERE length(regexp_replace(value, '[^0-9]', '', 'g')) BETWEEN 10 AND 15),
+iban AS (
+  SELECT doc_id, 'iban' AS kind, 4 AS kind_no, value,
+         (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda m: length(m))), 0))::INT AS start
+  FROM (
+    SELECT doc_id, gaps, found, unnest(found) AS value, generate_subscripts(found, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(text, '\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b') AS found,
+                 regexp_split_to_array(text, '\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b') AS gaps FROM documents))
+  WHERE list_reduce(list_prepend(0::BIGINT, list_transform(
+      string_split(substr(replace(value, ' ', ''), 5) || substr(value, 1, 4), ''),
+      lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END::BIGINT)),
+      lambda r, d: (r * CASE WHEN d > 9 THEN 100 ELSE 10 END + d) % 97) = 1),
+spans AS (
+  SELECT *, kind || ':' || start || ':' || (start + length(value)) AS span FROM (
+    SELECT * FROM email UNION ALL SELECT * FROM ip UNION ALL SELECT * FROM card
+    UNION ALL SELECT * FROM phone UNION ALL SELECT * FROM iban)),
+by_doc AS (
+  SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(span, ',' ORDER BY start, kind_no) FILTER (kind_no < 4) AS base,
+         string_agg(span, ',' ORDER BY start, kind_no) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
+       coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN by_doc USING (doc_id)
 """,
 }
