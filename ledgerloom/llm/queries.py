@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import prefix_examples, read_examples
 from ledgerloom.llm.common import read_table
 from ledgerloom.llm.oracles import ORACLES
+from ledgerloom.llm.pieces import encode_pieces
 from ledgerloom.llm.pii import BASE_KINDS, find_pii
 from ledgerloom.llm.quality import host_rules
 from ledgerloom.llm.sharding import shard_by_bytes
@@ -86,9 +88,25 @@ def op6_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(read_table(spark, sf_dir, "documents"), model)
+    return encoded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        # The last end is the text's size in bytes: the pieces cover the whole source.
+        F.expr("cast(conv(hex(substring(ends, -1, 1)) || hex(substring(ends, -2, 1))"
+            " || hex(substring(ends, -3, 1)) || hex(substring(ends, -4, 1)), 16, 10) as long)").alias("n_bytes"),
+        F.sha2("ends", 256).alias("ends_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_host_rules": op2_host_rules,
     "op4_pii_checksums": op4_pii_checksums,
     "op6_prefix_target_chat": op6_prefix_target_chat,
+    "op9_pieces": op9_pieces,
 }
