@@ -26,8 +26,9 @@ from ledgerloom.llm.common import over_slices
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
-#: Units that a task keeps at most; then it starts anew. Only speed depends on it.
-KEPT_UNITS = 250_000
+#: Units of a generation: those of this and the last are kept. Only speed depends on it.
+KEPT_UNITS = 200_000
+SHORT_UNIT = 60
 
 codecs.register_error("each", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -131,6 +132,7 @@ class PieceModel:
             + (f"{SPACE}*[^{SPACE}{lines}]+|{SPACE}+" if words else f"[^{lines}]+" if lines else ".+"),
             re.DOTALL,
         )
+        self.parts: dict[str, tuple[bytes, bytes, bytes]] = {}
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
 
     def _surface(self, i: int) -> bytes:
@@ -189,6 +191,23 @@ class PieceModel:
 
     def merge(self, unit: str) -> list[str]:
         """The pieces of a unit: best pair first, the leftmost of equals."""
+        if len(unit) > SHORT_UNIT:
+            return self._merge_long(unit)
+        order, never = self.order.get, float("inf")
+        parts = list(unit)
+        rank = [order(a + b, never) for a, b in zip(parts, parts[1:], strict=False)]
+        while rank and (best := min(rank)) < never:
+            i = rank.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del rank[i]
+            if i < len(rank):
+                rank[i] = order(parts[i] + parts[i + 1], never)
+            if i:
+                rank[i - 1] = order(parts[i - 1] + parts[i], never)
+        return parts
+
+    def _merge_long(self, unit: str) -> list[str]:
+        """The same with a heap, in n log n steps."""
         order = self.order
         parts: list[str | None] = list(unit)
         after = list(range(1, len(parts) + 1))
@@ -214,22 +233,20 @@ class PieceModel:
                 heapq.heappush(pairs, (order[pair], h, pair))
         return [p for p in parts if p is not None]
 
-    def encode_unit(self, unit: str) -> tuple[bytes, bytes, bytes]:
-        """Ids, source bytes of each if spaces alone were escaped, and normalised bytes."""
-        ids, wide = [], []
-        for piece in self.merge(unit):
+    def packed(self, piece: str) -> tuple[bytes, bytes, bytes]:
+        """Ids of a piece; source bytes of each if only spaces were escaped; normalised bytes."""
+        if piece not in self.parts:
             data = piece.encode()
             if piece in self.ids:
-                ids.append(self.ids[piece])
-                wide.append((len(data), len(data) - 2 * piece.count(SPACE)))
+                ids, wide = [self.ids[piece]], [len(data)]
             elif self.byte_fallback:
-                ids.extend(self.byte_ids[b] for b in data)
-                wide.extend([(1, 1)] * len(data))
+                ids, wide = [self.byte_ids[b] for b in data], [1] * len(data)
             else:
-                ids.append(self.unk)
-                wide.append((len(data), len(data)))
-        pack = struct.Struct(f"<{len(ids)}I").pack
-        return pack(*ids), pack(*[w[1] for w in wide]), pack(*[w[0] for w in wide])
+                ids, wide = [self.unk], [len(data)]
+            pack = struct.Struct(f"<{len(ids)}I").pack
+            source = [len(data) - 2 * piece.count(SPACE)] if len(ids) == 1 else wide
+            self.parts[piece] = pack(*ids), pack(*source), pack(*wide)
+        return self.parts[piece]
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids; the space put in front is taken off again."""
@@ -242,43 +259,57 @@ class PieceModel:
         return data.decode("utf-8", "each")
 
 
-#: Models and their units, kept by a Python worker from one task to the next.
-_MODELS: dict[bytes, tuple[PieceModel, dict[str, tuple[bytes, bytes, bytes]]]] = {}
+class Encoder:
+    """A model with the units it has merged lately. A Python worker keeps it between tasks."""
 
-
-def _encoder(data: bytes):
-    if data not in _MODELS:
-        _MODELS[data] = PieceModel(data), {}
-    model, known = _MODELS[data]
-    head, tail = struct.pack("<I", model.bos), struct.pack("<I", model.eos)
-    plain = not model.map.units and not model.squeeze and model.escape and model.dummy_prefix
-
-    def encode(text: str) -> tuple[bytes, bytes]:
-        simple = plain and SPACE not in text
-        back = None
+    def __init__(self, data: bytes):
+        self.model = m = PieceModel(data)
+        self.new: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.head, self.tail = struct.pack("<I", m.bos), struct.pack("<I", m.eos)
+        self.plain = not m.map.units and not m.squeeze and m.escape and m.dummy_prefix
+
+    def units(self, normal: str) -> list[tuple[bytes, bytes]]:
+        """Ids and source widths of the units of a text."""
+        model, new, old = self.model, self.new, self.old
+        units = model.unit.findall(normal)
+        for unit in set(units).difference(new):
+            found = old.get(unit)
+            if found is None:
+                parts = [model.packed(p) for p in model.merge(unit)]
+                found = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+            new[unit] = found
+        told = [new[unit] for unit in units]
+        if len(new) > KEPT_UNITS:
+            self.old, self.new = new, {}
+        return told
+
+    def encode(self, text: str) -> tuple[bytes, bytes]:
+        """Packed ids, and the packed source ends of their pieces."""
+        model, size = self.model, len(text.encode())
         if not text:
-            normal = ""
-        elif simple:
-            normal = SPACE + text.replace(" ", SPACE)
+            units, ends = [], np.zeros(0, np.int64)
+        elif self.plain and SPACE not in text:
+            units = self.units(SPACE + text.replace(" ", SPACE))
+            ends = np.cumsum(np.frombuffer(b"".join([u[1] for u in units]), "<u4")) - 1
+            # less 1: the space put in front is in no source
         else:
             normal, back = model.normalise(text)
-        units = model.unit.findall(normal)
-        if len(known) > KEPT_UNITS:
-            known.clear()
-        for unit in set(units).difference(known):
-            known[unit] = model.encode_unit(unit)
-        parts = [known[unit] for unit in units]
-        ids = b"".join([head, *[p[0] for p in parts], tail])
-        if simple or back is None:
-            widths = np.frombuffer(b"".join([p[1] for p in parts]), "<u4").astype(np.int64)
-            if len(widths):
-                widths[0] -= 1  # the space put in front is in no source
-            ends = np.cumsum(widths)
-        else:
-            ends = back[np.cumsum(np.frombuffer(b"".join([p[2] for p in parts]), "<u4"))]
-        size = len(text.encode())
+            units = self.units(normal)
+            wide = [model.packed(p)[2] for u in model.unit.findall(normal) for p in model.merge(u)]
+            ends = back[np.cumsum(np.frombuffer(b"".join(wide), "<u4"), dtype=np.int64)]
+        ids = b"".join([self.head, *[u[0] for u in units], self.tail])
         return ids, np.concatenate(([0], ends, [size])).astype("<u4").tobytes()
 
+
+_ENCODERS: dict[bytes, Encoder] = {}
+
+
+def _encoder(data: bytes):
+    if data not in _ENCODERS:
+        _ENCODERS[data] = Encoder(data)
+    encode, model = _ENCODERS[data].encode, _ENCODERS[data].model
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, ends, back = [], [], []
         for text in batch.column("text").to_pylist():
