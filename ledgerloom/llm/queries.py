@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import prefix_examples, read_examples
 from ledgerloom.llm.common import read_table
+from ledgerloom.llm.language import fit_languages, held_out, identify_languages
 from ledgerloom.llm.oracles import ORACLES
 from ledgerloom.llm.pieces import encode_pieces
 from ledgerloom.llm.pii import BASE_KINDS, find_pii
@@ -88,6 +89,13 @@ def op6_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    moves = fit_languages(docs.where(~held_out(F.col("doc_id"))))
+    found = identify_languages(docs, moves, "doc_id")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = encode_pieces(read_table(spark, sf_dir, "documents"), model)
@@ -108,5 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_host_rules": op2_host_rules,
     "op4_pii_checksums": op4_pii_checksums,
     "op6_prefix_target_chat": op6_prefix_target_chat,
+    "op7_language_id": op7_language_id,
     "op9_pieces": op9_pieces,
 }
