@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import prefix_examples, read_examples
 from ledgerloom.llm.common import read_table
+from ledgerloom.llm.html import extract_main_text
 from ledgerloom.llm.language import fit_languages, held_out, identify_languages
 from ledgerloom.llm.oracles import ORACLES
 from ledgerloom.llm.pieces import encode_pieces
@@ -37,6 +38,11 @@ def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_main_text(read_table(spark, sf_dir, "pages"), "page_id", "url")
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_pii_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     named = found.select(
@@ -114,6 +120,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_host_rules": op2_host_rules,
+    "op3_line_blocks": op3_line_blocks,
     "op4_pii_checksums": op4_pii_checksums,
     "op6_prefix_target_chat": op6_prefix_target_chat,
     "op7_language_id": op7_language_id,
