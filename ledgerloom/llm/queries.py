@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import prefix_examples, read_examples
 from ledgerloom.llm.common import read_table
+from ledgerloom.llm.decontaminate import find_leaks
 from ledgerloom.llm.html import extract_main_text
 from ledgerloom.llm.language import fit_languages, held_out, identify_languages
 from ledgerloom.llm.oracles import ORACLES
@@ -102,6 +103,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_rare_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("matches"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = encode_pieces(read_table(spark, sf_dir, "documents"), model)
@@ -124,5 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii_checksums": op4_pii_checksums,
     "op6_prefix_target_chat": op6_prefix_target_chat,
     "op7_language_id": op7_language_id,
+    "op8_rare_seeds": op8_rare_seeds,
     "op9_pieces": op9_pieces,
 }
