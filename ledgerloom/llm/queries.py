@@ -12,6 +12,7 @@ from ledgerloom.llm.chat import prefix_examples, read_examples
 from ledgerloom.llm.common import read_table
 from ledgerloom.llm.decontaminate import find_leaks
 from ledgerloom.llm.html import extract_main_text
+from ledgerloom.llm.jaccard import jaccard_components
 from ledgerloom.llm.language import fit_languages, held_out, identify_languages
 from ledgerloom.llm.oracles import ORACLES
 from ledgerloom.llm.pieces import encode_pieces
@@ -124,6 +125,10 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_host_rules": op2_host_rules,
@@ -133,4 +138,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_rare_seeds": op8_rare_seeds,
     "op9_pieces": op9_pieces,
+    "op10_adaptive_prefixes": op10_adaptive_prefixes,
 }
