@@ -178,5 +178,26 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
        coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN by_doc USING (doc_id)
+""",
+    "op5_recompression": r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM split),
+windows AS (
+  SELECT doc_id, i, array_to_string(list(w) OVER (PARTITION BY doc_id ORDER BY i
+           ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING), ' ') AS g, n FROM words),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth
+    FROM windows WHERE i + 19 <= n) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, range(20) r(k)),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(len(ws), 0)::BIGINT AS n_words,
+       (coalesce(len(ws), 0) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
 """,
 }

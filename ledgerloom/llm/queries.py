@@ -19,6 +19,7 @@ from ledgerloom.llm.pieces import encode_pieces
 from ledgerloom.llm.pii import BASE_KINDS, find_pii
 from ledgerloom.llm.quality import host_rules
 from ledgerloom.llm.sharding import shard_by_bytes
+from ledgerloom.llm.substrings import remove_repeats
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -73,6 +74,10 @@ def op4_pii_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))[0]
+
+
 def op6_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = "<|im_end|><|im_start|>assistant ok"
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -134,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_host_rules": op2_host_rules,
     "op3_line_blocks": op3_line_blocks,
     "op4_pii_checksums": op4_pii_checksums,
+    "op5_recompression": op5_recompression,
     "op6_prefix_target_chat": op6_prefix_target_chat,
     "op7_language_id": op7_language_id,
     "op8_rare_seeds": op8_rare_seeds,
