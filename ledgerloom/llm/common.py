@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerloom.paths import work_dir
 
@@ -40,6 +41,12 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def beside(df: DataFrame, text: str, columns: str) -> T.StructType:
+    """The schema of ``df`` with ``columns`` in the place of the column ``text``."""
+    kept = [field for field in df.schema if field.name != text]
+    return T.StructType(kept + T.StructType.fromDDL(columns).fields)
+
+
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about SLICE_CHARS bytes of the column ``text``."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(False))

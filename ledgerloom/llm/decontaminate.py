@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices
+from ledgerloom.llm.common import beside, slices
 
 SEED_WORDS = 3
 #: A seed is rare if chance would put it at fewer than one in 2**20 places.
@@ -231,7 +231,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4)
     id_type = benchmark.schema["item_id"].dataType.simpleString()
     match = f"struct<item_id: {id_type}, score: double, n_same: bigint, first_word: bigint, end_word: bigint>"
     out = docs.drop("matches").withColumn("matches", F.array().cast(f"array<{match}>"))
-    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
+    schema = beside(out, "", f"_matches array<{match}>")
     for block in range(blocks):
         mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
         items = benchmark.where(F.length("text") > 0).where(mine).select("item_id", "text").toArrow()
@@ -251,7 +251,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4)
         out = (
             out.mapInArrow(
                 lambda batches, shared=shared: _aligner(*shared.value, least_score)(batches),
-                f"{plain}, _matches array<{match}>",
+                schema,
             )
             .withColumn("matches", F.concat("matches", "_matches"))
             .drop("_matches")

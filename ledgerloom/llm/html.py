@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerloom.llm.common import over_slices
+from ledgerloom.llm.common import beside, over_slices
 
 #: Lines of a window, and the sum of their lengths that counts as a surge.
 WINDOW, SURGE = 3, 86
@@ -246,5 +246,4 @@ def extract_main_text(pages: DataFrame, *keep: str) -> DataFrame:
     so repeated rows and ties change nothing; an empty table gives an empty result.
     """
     kept = pages.select(*keep, "html")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[: len(keep)])
-    return kept.mapInArrow(over_slices(_extractor, "html"), f"{schema}, text string")
+    return kept.mapInArrow(over_slices(_extractor, "html"), beside(kept, "html", "text string"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import over_slices
+from ledgerloom.llm.common import beside, over_slices
 
 #: Bound of the training sample of a language: so many characters, from so many texts at
 #: most, one from each of so many classes of a hash of text and id.
@@ -218,10 +218,9 @@ def identify_languages(docs: DataFrame, moves: pd.DataFrame, *keep: str) -> Data
     """
     model = docs.sparkSession.sparkContext.broadcast(moves)  # bounded by the samples
     kept = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[: len(keep)])
     return kept.mapInArrow(
         over_slices(lambda: _predictor(model.value)),
-        f"{schema}, lang_pred string, score double, phrase_rate double",
+        beside(kept, "text", "lang_pred string, score double, phrase_rate double"),
     )
 
 

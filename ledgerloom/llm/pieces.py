@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerloom.llm.common import over_slices
+from ledgerloom.llm.common import beside, over_slices
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
@@ -343,8 +343,7 @@ def encode_pieces(docs: DataFrame, model: str, key: str = "doc_id") -> DataFrame
     with open(model, "rb") as file:
         data = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(key, "text")
-    kind = rows.schema[key].dataType.simpleString()
     return rows.mapInArrow(
         over_slices(lambda: _encoder(data.value)),
-        f"`{key}` {kind}, ids binary, ends binary, decoded string",
+        beside(rows, "text", "ids binary, ends binary, decoded string"),
     )

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Scratch, over_slices, split_words, word_codes
+from ledgerloom.llm.common import Scratch, beside, over_slices, split_words, word_codes
 
 WINDOW = 5
 FACTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -83,8 +83,7 @@ def _measure() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
 def text_facts(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep`` and what the rules need to know of each text (null: empty)."""
     kept = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[: len(keep)])
-    return kept.mapInArrow(over_slices(_measure), f"{schema}, {FACTS}")
+    return kept.mapInArrow(over_slices(_measure), beside(kept, "text", FACTS))
 
 
 def host_rules(
