@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,19 @@ SLICE_CHARS = 2_000_000
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
+#: The folder that holds the package.
+HOME = str(Path(__file__).resolve().parents[2])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Python workers on this machine get to know where the package is.
+
+    On a cluster the package is installed or sent along (``--py-files``), as always.
+    """
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if HOME not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [HOME, known]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
