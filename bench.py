@@ -25,7 +25,7 @@ from ledgerloom import (  # noqa: E402
     profit_by_year,
     profit_by_year_and_category,
 )
-from ledgerloom.paths import work_dir  # noqa: E402
+from ledgerloom.paths import clear_scratch, work_dir  # noqa: E402
 from trial.suite import QUERIES, stored_order_fact, write_source_files  # noqa: E402
 
 
@@ -97,6 +97,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -2,7 +2,7 @@
 
 from ledgerloom.layers import load_table, store_table, table_path
 from ledgerloom.operators.conform import bad_value_counts, conform, watch_bad_values
-from ledgerloom.operators.fact import hot_dimension_keys, order_fact, repeated_keys
+from ledgerloom.operators.fact import dimension_slices, order_fact, repeated_keys
 from ledgerloom.operators.rollups import (
     BY_CUSTOMER,
     BY_CUSTOMER_AND_YEAR,
@@ -40,7 +40,7 @@ __all__ = [
     "build_session",
     "conform",
     "empty_table",
-    "hot_dimension_keys",
+    "dimension_slices",
     "load_table",
     "order_fact",
     "profit_by_customer",

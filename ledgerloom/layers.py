@@ -80,13 +80,19 @@ def load_table(
 ) -> DataFrame:
     """Read a stored table, checked against its declared schema.
 
-    A folder without ``_SUCCESS`` is what a failed overwrite leaves behind and counts as
-    missing. A column that is absent or of another type is an error.
+    A table is missing if its folder isn't there or holds no data. Data without
+    ``_SUCCESS`` may be what a failed overwrite left behind, or come from a writer that
+    leaves no marker: with ``on_missing="raise"`` that is an error, with ``"empty"`` it
+    is read, and logged. It is never taken for empty. A column that is absent or of
+    another type is an error.
     """
     if not paths.exists(spark, f"{path}/_SUCCESS"):
-        if on_missing == "empty":
+        unfinished = paths.holds_data(spark, path)
+        if on_missing == "raise":
+            raise FileNotFoundError(f"no finished table at {path}")
+        if not unfinished:
             return empty_table(spark, schema)
-        raise FileNotFoundError(f"no finished table at {path}")
+        log.warning("%s holds data but no _SUCCESS; reading what is there", path)
     df = spark.read.parquet(path)
     found = {field.name: field.dataType for field in df.schema}
     wrong = [f.name for f in schema if found.get(f.name) != f.dataType]

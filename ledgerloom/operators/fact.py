@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import spread_key
+from ledgerloom.tables import ORDER_FACT
 
-HOT_SHARE = 1000
-SLICE_ROWS = 100_000
-COPY_BLOCK = 1000
+#: Rows of one dimension key, equal ones counted, that are joined in one piece.
+PIECE_ROWS = 10_000
 
-ORDER_COLUMNS = ["order_id", "order_date", "ship_date", "ship_mode", "quantity", "price", "discount"]
-CUSTOMER_COLUMNS = ["customer_id", "customer_name", "country"]
-PRODUCT_COLUMNS = ["product_id", "category", "sub_category"]
+_FACT = ORDER_FACT.names
+#: What null keys are spread by: columns that tell lines apart and that rollups read anyway.
+#: With all columns, a rollup would have to read all of them.
+SPREAD_BY = ["order_id", "order_date", "profit", "_customer_key", "_product_key"]
+ORDER_COLUMNS, CUSTOMER_COLUMNS, PRODUCT_COLUMNS = _FACT[:7], _FACT[8:11], _FACT[11:]
 
 
 def order_fact(
     orders: DataFrame,
     customers: DataFrame,
     products: DataFrame,
-    hot_customers: Sequence[str] = (),
-    hot_products: Sequence[str] = (),
+    customer_slices: DataFrame | None = None,
+    product_slices: DataFrame | None = None,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Left-join customers and products to the order lines and round the profit.
 
@@ -33,8 +34,8 @@ def order_fact(
     No join hint is given: Spark broadcasts a dimension whose size, planned or seen at
     run time, is below its threshold, and otherwise shuffles. In the shuffled form null
     keys are spread here, an often ordered key is split by adaptive execution, and a
-    dimension key with very many rows is split here when it is named as hot (see
-    ``hot_dimension_keys``).
+    dimension key with very many rows is split here when ``dimension_slices`` of the
+    dimension is given, best as a stored table, whose size Spark knows.
     """
     lines = orders.select(
         *ORDER_COLUMNS,
@@ -43,67 +44,26 @@ def order_fact(
         F.col("product_id").alias("_product_key"),
     )
     with_customer = _look_up(
-        lines, "_customer_key", customers.select(CUSTOMER_COLUMNS), "customer_id", hot_customers
+        lines, "_customer_key", customers.select(CUSTOMER_COLUMNS), customer_slices, piece_rows
     )
     with_product = _look_up(
-        with_customer, "_product_key", products.select(PRODUCT_COLUMNS), "product_id", hot_products
+        with_customer, "_product_key", products.select(PRODUCT_COLUMNS), product_slices, piece_rows
     )
-    return with_product.select(*ORDER_COLUMNS, "profit", *CUSTOMER_COLUMNS, *PRODUCT_COLUMNS)
+    return with_product.select(_FACT)
 
 
-def _look_up(
-    lines: DataFrame, line_key: str, dimension: DataFrame, key: str, hot: Sequence[str]
-) -> DataFrame:
-    spread = spread_key(F.col(line_key), F.col("order_id"), F.col("profit"))
-    matches = (spread == F.col(key)) & F.col(line_key).isNotNull()
-    if not hot:
-        return lines.join(dimension, matches, "left")
+def dimension_slices(dimension: DataFrame, key: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Keys with more than ``piece_rows`` rows, and over how many slices to deal these.
 
-    # Equal dimension rows become one row with a count. If a hot key still has very many
-    # rows they are dealt out by their attributes over slices, and its order lines are
-    # repeated once per slice. There is one row of ``slices`` per hot key at most, so it
-    # can be broadcast; a key that turns out not to be hot has one slice.
-    attributes = [c for c in dimension.columns if c != key]
-    slices = (
-        dimension.where(F.col(key).isin(*hot))
-        .groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count_distinct(F.struct(*attributes)).alias("_rows"))
-        .select("_hot_key", F.ceil(F.col("_rows") / SLICE_ROWS).cast("int").alias("_slices"))
-    )
-    slice_count = F.coalesce(F.col("_slices"), F.lit(1))
-    merged = dimension.groupBy(*dimension.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    sliced_dimension = merged.join(
-        F.broadcast(slices), F.col(key) == F.col("_hot_key"), "left"
-    ).select(
-        *merged.columns,
-        F.pmod(F.xxhash64(*attributes), slice_count).cast("int").alias("_dimension_slice"),
-    )
-    sliced_lines = lines.join(
-        F.broadcast(slices), F.col(line_key) == F.col("_hot_key"), "left"
-    ).select(
-        *lines.columns,
-        slice_count.alias("_slice_count"),
-        F.explode(F.sequence(F.lit(0), slice_count - 1)).alias("_line_slice"),
-    )
-    joined = sliced_lines.join(
-        sliced_dimension, matches & (F.col("_line_slice") == F.col("_dimension_slice")), "left"
-    )
-    # A key with several slices has a match in some of them; the others add nothing.
-    found = joined.where((F.col("_slice_count") == 1) | F.col(key).isNotNull())
-    return _repeat(found, F.coalesce(F.col("_copies"), F.lit(1))).drop(
-        "_slice_count", "_line_slice", "_dimension_slice", "_copies"
-    )
-
-
-def _repeat(df: DataFrame, times: Column) -> DataFrame:
-    """Every row ``times`` times, in two steps so that neither array grows with the count."""
-    block = F.lit(COPY_BLOCK)
-    blocks = df.withColumn("_times", times).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.expr(f"(_times - 1) div {COPY_BLOCK}")))
-    )
-    in_block = F.least(block, F.col("_times") - F.col("_block") * block)
-    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), in_block.cast("int")))).drop(
-        "_times", "_block", "_copy"
+    The bound is a number of rows and doesn't grow with the table. The rows are counted
+    by a partial aggregate; there is at most one key for each ``piece_rows`` rows.
+    """
+    return (
+        dimension.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("hot_key"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(F.col("rows") > piece_rows)
+        .select("hot_key", F.ceil(F.col("rows") / piece_rows).cast("int").alias("slices"))
     )
 
 
@@ -117,14 +77,49 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
     )
 
 
-def hot_dimension_keys(dimension: DataFrame, key: str, at_least: int = 100_000) -> list[str]:
-    """Keys that hold over a thousandth of the repeated rows, and over ``at_least`` rows.
+def _look_up(
+    lines: DataFrame, line_key: str, dimension: DataFrame, slices: DataFrame | None, piece_rows: int
+) -> DataFrame:
+    key = dimension.columns[0]
+    spread = spread_key(F.col(line_key), *SPREAD_BY)
+    matches = (spread == F.col(key)) & F.col(line_key).isNotNull()
+    if slices is None:
+        return lines.join(dimension, matches, "left")
 
-    There can be no more than a thousand of them, so the list is safe on the driver.
-    """
-    repeated = repeated_keys(dimension, key)
-    most, total = repeated.agg(F.max("copies"), F.sum("copies")).first()
-    threshold = max(at_least, (total or 0) // HOT_SHARE)
-    if most is None or most <= threshold:
-        return []
-    return [row[0] for row in repeated.where(F.col("copies") > threshold).collect()]
+    # A hot key's rows are dealt over slices and its lines go to each slice. Equal rows
+    # become one with a count first, and a count is cut into pieces of piece_rows, so that
+    # no slice holds many more rows than that, whether they differ or not. Lines are
+    # repeated after the join, by at most piece_rows for each row they meet.
+    attributes = dimension.columns[1:]
+    of_hot_key = F.col(key) == F.col("hot_key")
+    cold = dimension.join(slices, of_hot_key, "left_anti").select(
+        "*", F.lit(1).alias("_copies"), F.lit(0).alias("_dimension_slice")
+    )
+    pieces = (
+        dimension.join(slices, of_hot_key)
+        .groupBy(*dimension.columns, "slices")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("*", F.explode(F.expr(f"sequence(0, (_rows - 1) div {piece_rows})")).alias("_piece"))
+    )
+    hot = pieces.select(
+        *dimension.columns,
+        F.least(F.lit(piece_rows), F.col("_rows") - F.col("_piece") * piece_rows)
+        .cast("int")
+        .alias("_copies"),
+        F.pmod(F.xxhash64(*attributes, "_piece"), F.col("slices")).cast("int").alias("_dimension_slice"),
+    )
+    # A key may be listed as hot without being in the dimension; its lines stay single.
+    present = slices.join(pieces.select(F.col(key).alias("hot_key")).distinct(), "hot_key", "left_semi")
+    slice_count = F.coalesce(F.col("slices"), F.lit(1))
+    sliced_lines = lines.join(present, spread == F.col("hot_key"), "left").select(
+        *lines.columns,
+        slice_count.alias("_slice_count"),
+        F.explode(F.sequence(F.lit(0), slice_count - 1)).alias("_line_slice"),
+    )
+    joined = sliced_lines.join(
+        cold.unionByName(hot), matches & (F.col("_line_slice") == F.col("_dimension_slice")), "left"
+    )
+    # A key with several slices has a match in some of them; the others add nothing.
+    found = joined.where((F.col("_slice_count") == 1) | F.col(key).isNotNull())
+    copies = F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)))
+    return found.withColumn("_copy", F.explode(copies)).select(*lines.columns, *dimension.columns)

@@ -19,7 +19,14 @@ YEAR = ("year(cast(order_date as date))", "year")
 CATEGORY = ("category", "product_category")
 SUB_CATEGORY = ("sub_category", "product_sub_category")
 CUSTOMER = ("customer_name", "customer")
-TOTAL_PROFIT = ("round(sum(profit), 2)", "total_profit")
+# Doubles add up differently in another order, decimals don't. Profits that decimals of
+# twelve places can't hold (not finite, or too large, also as a total) add up as doubles.
+_EXACT = "try_cast(profit AS DECIMAL(38, 12))"
+TOTAL_PROFIT = (
+    f"coalesce(CASE WHEN count_if(profit IS NOT NULL AND {_EXACT} IS NULL) = 0"
+    f" THEN cast(round(try_sum({_EXACT}), 2) AS DOUBLE) END, round(sum(profit), 2))",
+    "total_profit",
+)
 ORDER_COUNT = ("count(order_id)", "order_count")
 
 

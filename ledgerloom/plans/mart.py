@@ -11,10 +11,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
+from ledgerloom import paths
 from ledgerloom.layers import Layer, Staging, load_table, store_table, table_path
 from ledgerloom.operators import rollups
 from ledgerloom.operators.conform import OnBadValue, conform, watch_bad_values
-from ledgerloom.operators.fact import hot_dimension_keys, order_fact
+from ledgerloom.operators.fact import dimension_slices, order_fact
 from ledgerloom.sources import read_csv, read_json, read_workbooks
 from ledgerloom.tables import CUSTOMERS, ORDER_FACT, ORDERS, PRODUCTS, PROFIT_INFO_SCHEMA, Table
 
@@ -29,10 +30,13 @@ class Mart:
     frame, and rollups over a frame without the needed columns return None.
 
     ``on_bad_value="null"`` types malformed values as null; ``bad_values`` then holds,
-    per enriched table and column, how many there were.
+    per enriched table and column, how many there were. What the JSON reader itself makes
+    null (a value of the wrong type, a document that is cut) never reaches the conversion:
+    the strict policy raises there unless malformed values may become null, and
+    ``bad_records`` holds the number of such records once the frame read is written raw.
 
     With ``multi_line`` off, CSV and JSON files have one record per line and large ones
-    are split over many tasks.
+    are split over many tasks. A JSON document that isn't is held by one task as a whole.
     """
 
     def __init__(
@@ -51,6 +55,9 @@ class Mart:
         self.staging = staging
         self.multi_line = multi_line
         self.bad_values: dict[str, dict[str, int]] = {}
+        self.bad_records: dict[str, int] = {}
+        self.on_malformed = "null" if lenient or on_bad_value == "null" else "raise"
+        self._orders_read: tuple[DataFrame, Observation] | None = None
         self.on_missing = "empty" if lenient else "raise"
         self.on_error = "flag" if lenient else "raise"
         self.on_bad_frame = "none" if lenient else "raise"
@@ -70,13 +77,18 @@ class Mart:
         return read_workbooks(self.spark, self._file(file), CUSTOMERS, on_missing=self.on_missing)
 
     def read_orders_json(self, file: str = "Orders.json") -> DataFrame:
-        return read_json(
+        malformed = Observation()
+        df = read_json(
             self.spark,
             self._file(file),
             ORDERS,
             multi_line=self.multi_line,
             on_missing=self.on_missing,
+            on_malformed=self.on_malformed,
+            watch=malformed,
         )
+        self._orders_read = df, malformed
+        return df
 
     # raw layer
 
@@ -87,7 +99,12 @@ class Mart:
         return self._store("raw", CUSTOMERS.name, df)
 
     def write_orders_raw(self, df: DataFrame) -> bool:
-        return self._store("raw", ORDERS.name, df)
+        stored = self._store("raw", ORDERS.name, df)
+        if stored and self._orders_read and df is self._orders_read[0] and df.inputFiles():
+            self.bad_records[ORDERS.name] = self._orders_read[1].get["records"]
+            if self.bad_records[ORDERS.name]:
+                log.warning("%d malformed records in %s", self.bad_records[ORDERS.name], ORDERS.name)
+        return stored
 
     def read_raw(self, table: Table) -> DataFrame:
         return self._load("raw", table.name, table.source_schema)
@@ -117,14 +134,33 @@ class Mart:
     def create_order_fact(
         self, customers_df: DataFrame, orders_df: DataFrame, products_df: DataFrame
     ) -> bool:
-        """Join and store the fact. Dimension keys with very many rows are looked for first."""
+        """Join and store the fact. Dimension keys with very many rows are looked for first.
+
+        They are kept beside the fact while it is made, so that Spark knows how few they
+        are and chooses the joins with them by their size.
+        """
+        path = table_path(self.data_dir, "enriched", "order_fact")
+        at = {key: paths.sibling(path, f"slices-{key}") for key in ("customer_id", "product_id")}
+
+        def slices(dimension: DataFrame, key: str) -> DataFrame | None:
+            dimension_slices(dimension, key).write.parquet(at[key])
+            stored = self.spark.read.parquet(at[key])
+            return None if stored.isEmpty() else stored
 
         def fact() -> DataFrame:
-            hot_customers = hot_dimension_keys(customers_df, "customer_id")
-            hot_products = hot_dimension_keys(products_df, "product_id")
-            return order_fact(orders_df, customers_df, products_df, hot_customers, hot_products)
+            return order_fact(
+                orders_df,
+                customers_df,
+                products_df,
+                slices(customers_df, "customer_id"),
+                slices(products_df, "product_id"),
+            )
 
-        return self._store_built("enriched", "order_fact", fact)
+        try:
+            return self._store_built("enriched", "order_fact", fact)
+        finally:
+            for made in at.values():
+                paths.delete(self.spark, made)
 
     def read_order_fact(self) -> DataFrame:
         return self._load("enriched", "order_fact", ORDER_FACT)

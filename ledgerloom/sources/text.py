@@ -6,12 +6,15 @@ from collections.abc import Callable
 from typing import Literal
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.tables import Table
 
 OnMissing = Literal["raise", "empty"]
+OnMalformed = Literal["raise", "null"]
+CORRUPT = "_malformed_record"
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -57,12 +60,37 @@ def read_json(
     table: Table,
     multi_line: bool = True,
     on_missing: OnMissing = "raise",
+    on_malformed: OnMalformed = "null",
+    watch: Observation | None = None,
 ) -> DataFrame:
     """JSON objects, matched to the table's columns by name.
 
-    With ``multi_line`` each file is one document, an array of objects, read by one
-    task. Turn it off for one object per line, and large files are split. A value of
-    the wrong type is null and the rest of its object is kept.
+    With ``multi_line`` each file is one document, an array of objects, which one task
+    reads and holds in memory as a whole. Large sources should have one object per line:
+    with ``multi_line`` off, large files are split.
+
+    A value of the wrong type is null and the rest of its object is kept; a document that
+    is cut or isn't JSON is one row of nulls. With ``on_malformed="raise"`` either fails
+    the job that reads it. ``watch`` is told the number of such records as ``records``; of an
+    array that holds a malformed object Spark counts every object.
     """
-    reader = spark.read.schema(table.source_schema).options(multiLine=multi_line)
-    return or_empty(spark, table.source_schema, on_missing, lambda: reader.json(path))
+    schema = T.StructType([*table.source_schema, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).options(
+        multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT
+    )
+    names = [f"`{name}`" for name in table.source_schema.names]
+
+    def read() -> DataFrame:
+        df = reader.json(path)
+        if watch is not None:
+            # Spark's JSON source can't read the corrupt records' column by itself.
+            df = df.observe(watch, F.count(CORRUPT).alias("records"), F.count(names[0]).alias("first"))
+        if on_malformed == "raise":
+            fail = F.raise_error(F.concat(F.lit("malformed record: "), F.left(CORRUPT, F.lit(200))))
+            whole = F.when(F.col(CORRUPT).isNull(), F.col(names[0])).otherwise(
+                fail.cast(table.source_schema[0].dataType)
+            )
+            df = df.withColumn(table.source_schema.names[0], whole)
+        return df.select(names)
+
+    return or_empty(spark, table.source_schema, on_missing, read)

@@ -200,9 +200,12 @@ def shared_texts(book: ZipFile) -> list[str]:
 
 
 def first_sheet(book: ZipFile) -> str:
-    """The file that holds the sheet listed first in the workbook."""
-    sheet = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{MAIN}sheets/{MAIN}sheet")
-    for relation in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels")):
-        if relation.get("Id") == sheet.get(RELATION_ID):
+    """The file of the worksheet listed first in the workbook; chart sheets are passed over."""
+    relations = {r.get("Id"): r for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+    for sheet in ElementTree.fromstring(book.read("xl/workbook.xml")).iterfind(f"{MAIN}sheets/{MAIN}sheet"):
+        relation = relations.get(sheet.get(RELATION_ID))
+        if relation is None:
+            raise ValueError("workbook lists a sheet it does not contain")
+        if relation.get("Type", "").endswith("/worksheet"):
             return normpath(join("/xl", relation.get("Target"))).lstrip("/")
-    raise ValueError("workbook lists a sheet it does not contain")
+    raise ValueError("workbook has no worksheet")

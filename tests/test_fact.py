@@ -11,10 +11,11 @@ from ledgerloom import (
     ORDER_FACT,
     ORDERS,
     PRODUCTS,
-    hot_dimension_keys,
+    dimension_slices,
     order_fact,
     repeated_keys,
 )
+from ledgerloom.functions import spread_key
 from tests.conftest import CUSTOMER_ROWS, ORDER_ROWS, PRODUCT_ROWS, bag, rows
 
 D = datetime.date
@@ -26,57 +27,64 @@ def line(spark, *changes):
 
 
 def test_fact_of_the_shared_tables(fact):
+    lamp, rope, kiln = ("P-lamp", "Lighting", "Lanterns"), ("P-rope", "Rigging", "Cordage"), ("P-kiln", "Pottery", "Kilns")
+    weir, fen, nobody = ("K20", "Ottoline Marsh", "Eire"), ("K31", "Ottoline Marsh", "Eire"), (None, None, None)
+    rope_line = ("A-71", D(2019, 2, 27), D(2019, 3, 4), "Courier", 1, 9.5, 0.0, -2.15, *weir, *rope)
     assert fact.schema == ORDER_FACT
-    assert bag(fact) == [
-        ("ORD-001", D(2016, 1, 15), D(2016, 1, 20), "Standard", 2, 100.0, 0.1, 15.5,
-         "CUST-001", "John Doe", "USA", "PROD-001", "Furniture", "Chairs"),
-        ("ORD-002", D(2017, 3, 20), D(2017, 3, 25), "Express", 1, 250.0, 0.0, 50.0,
-         "CUST-002", "Jane Smith", "USA", "PROD-002", "Technology", "Accessories"),
-        ("ORD-003", D(2015, 6, 10), D(2015, 6, 15), "Standard", 3, 75.0, 0.2, -10.5,
-         "CUST-001", "John Doe", "USA", "PROD-003", "Office Supplies", "Paper"),
-    ]
-
-
-def test_fact_equals_a_join_on_shared_column_names(fact, orders, customers, products):
-    joined = orders.join(customers, "customer_id", "left").join(products, "product_id", "left")
-    by_name = joined.select(
-        *[orders[c] for c in ORDER_FACT.names[:8]],
-        customers.customer_id, customers.customer_name, customers.country,
-        products.product_id, products.category, products.sub_category,
+    assert Counter(rows(fact)) == Counter(
+        [
+            ("A-71", D(2019, 2, 27), D(2019, 3, 2), "Drone", 4, 18.25, 0.05, 6.4, *weir, *lamp),
+            rope_line,
+            rope_line,
+            ("B-08", D(2020, 11, 30), D(2020, 12, 1), "Courier", 2, 36.5, 0.15, 6.4, *fen, *lamp),
+            ("C-55", D(2020, 1, 9), D(2020, 1, 20), "Barge", 1, 820.0, 0.3, 91.75, *nobody, *kiln),
+        ]
+    )
+
+
+def test_fact_equals_sql_with_using(spark, fact, orders, customers, products):
+    same = spark.sql(
+        """SELECT order_id, order_date, ship_date, ship_mode, quantity, o.price, discount, profit,
+                   c.c_id AS customer_id, customer_name, country, p.p_id AS product_id, category, sub_category
+            FROM {o} o LEFT JOIN (SELECT *, customer_id AS c_id FROM {c}) c USING (customer_id)
+            LEFT JOIN (SELECT *, product_id AS p_id FROM {p}) p USING (product_id)""",
+        o=orders, c=customers, p=products.withColumnRenamed("price_per_product", "listed_price"),
     )
-    assert bag(by_name) == bag(fact)
+    assert bag(same) == bag(fact)
 
 
-@pytest.mark.parametrize("customer_id", ["CUST-999", None])
+@pytest.mark.parametrize("customer_id", ["K99", None])
 def test_line_without_a_customer_is_kept_without_its_key(spark, customers, products, customer_id):
     fact = order_fact(line(spark, {"customer_id": customer_id}), customers, products)
     row = fact.first()
-    assert (row["order_id"], row["customer_id"], row["customer_name"]) == ("ORD-001", None, None)
-    assert row["product_id"] == "PROD-001"
+    assert (row["order_id"], row["customer_id"], row["customer_name"]) == ("A-71", None, None)
+    assert row["product_id"] == "P-lamp"
 
 
-@pytest.mark.parametrize("product_id", ["PROD-999", None])
+@pytest.mark.parametrize("product_id", ["P-none", None])
 def test_line_without_a_product_is_kept_without_its_key(spark, customers, products, product_id):
     row = order_fact(line(spark, {"product_id": product_id}), customers, products).first()
-    assert (row["product_id"], row["category"], row["customer_id"]) == (None, None, "CUST-001")
+    assert (row["product_id"], row["category"], row["customer_id"]) == (None, None, "K20")
 
 
 def test_null_keys_do_not_match_null_or_filler_keys(spark, customers):
-    fillers = [(f"null-{i}", "X", "Y", "Z", None, 1.0) for i in range(4096)]
-    products = spark.createDataFrame([*fillers, (None, "X", "Y", "Z", None, 1.0)], PRODUCTS.schema)
-    fact = order_fact(line(spark, {"product_id": None}), customers, products)
-    assert [r["category"] for r in fact.collect()] == [None]
+    lines = line(spark, {"product_id": None})
+    row = ["order_id", "order_date", F.round("profit", 2), "customer_id", "product_id"]
+    filler = lines.select(spread_key(F.col("product_id"), *row)).first()[0]
+    assert filler.startswith("null-")
+    listed = [(filler, "X", "Y", "Z", None, 1.0), (None, "X", "Y", "Z", None, 1.0)]
+    products = spark.createDataFrame(listed, PRODUCTS.schema)
+    assert [r["category"] for r in order_fact(lines, customers, products).collect()] == [None]
 
 
 def test_repeated_product_repeats_the_line(spark, orders, customers):
     products = spark.createDataFrame(
-        [*PRODUCT_ROWS, ("PROD-001", "Furniture", "Chairs", "Office Chair", "CA", 151.0)],
+        [*PRODUCT_ROWS, ("P-lamp", "Lighting", "Lanterns", "Storm lantern", "WA", 23.5)],
         PRODUCTS.schema,
     )
-    assert Counter(r["order_id"] for r in order_fact(orders, customers, products).collect()) == {
-        "ORD-001": 2, "ORD-002": 1, "ORD-003": 1,
-    }
-    assert rows(repeated_keys(products, "product_id")) == [("PROD-001", 2)]
+    found = Counter(r["order_id"] for r in order_fact(orders, customers, products).collect())
+    assert found == {"A-71": 4, "B-08": 2, "C-55": 1}
+    assert bag(repeated_keys(products, "product_id")) == [("P-lamp", 2), ("P-rope", 2)]
 
 
 @pytest.mark.parametrize(
@@ -128,36 +136,55 @@ def by_hand(orders, customers, products):
     return result
 
 
+def hot(spark, *keys):
+    return spark.createDataFrame(list(keys), "hot_key string, slices int")
+
+
 @pytest.mark.parametrize("broadcast", ["-1", "10MB"])
-@pytest.mark.parametrize("slice_rows", [100_000, 2, 1])
-@pytest.mark.parametrize("hot", [[], ["HOT"], ["HOT", "P3", "P19", "unused"]])
-def test_skewed_tables_against_brute_force(spark, monkeypatch, broadcast, hot, slice_rows):
+@pytest.mark.parametrize("piece_rows", [10_000, 100, 1])
+@pytest.mark.parametrize("keys", [[], [("HOT", 3)], [("HOT", 2500), ("P3", 2), ("P19", 4), ("unused", 5)]])
+def test_skewed_tables_against_brute_force(spark, broadcast, keys, piece_rows):
     """P19 is ordered but not in the catalogue, so calling it hot must not lose its lines."""
-    monkeypatch.setattr("ledgerloom.operators.fact.SLICE_ROWS", slice_rows)
     orders, customers, products = skewed(spark)
     saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        result = count_by_row(order_fact(orders, customers, products, hot_products=hot))
+        slices = hot(spark, *keys)
+        fact = order_fact(orders, customers, products, product_slices=slices, piece_rows=piece_rows)
+        result = count_by_row(fact)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
     expected = by_hand(orders.select(ORDERS.schema.names), customers, products)
     assert result == Counter({(k[0], k[1], k[2], k[3], *k[4:]): n for k, n in expected.items()})
 
 
-def test_hot_keys_are_found(spark):
+def test_hot_keys_are_found_with_their_slices(spark):
     _, customers, products = skewed(spark)
-    assert hot_dimension_keys(products, "product_id", at_least=1000) == ["HOT"]
-    assert hot_dimension_keys(products, "product_id") == []
-    assert hot_dimension_keys(customers, "customer_id", at_least=0) == []
+    assert rows(dimension_slices(products, "product_id", 1000)) == [("HOT", 3)]
+    assert rows(dimension_slices(products, "product_id", 2500)) == []
+    assert bag(dimension_slices(products, "product_id", 1)) == [("HOT", 2500), ("P3", 2)]
+    assert rows(dimension_slices(products, "product_id")) == []
+    assert rows(dimension_slices(customers, "customer_id")) == []
+
 
+def test_thousands_of_moderately_hot_keys_are_all_found(spark):
+    many = spark.range(60_000).selectExpr("concat('M', id % 3000) AS product_id", "'K' AS category")
+    found = rows(dimension_slices(many, "product_id", piece_rows=10))
+    assert len(found) == 3000 and {r[1] for r in found} == {2}
 
-def test_equal_rows_of_a_hot_key_are_counted_before_the_join(spark, orders, customers):
-    _, _, products = skewed(spark)
-    fact = order_fact(line(spark, {"product_id": "HOT"}), customers, products, hot_products=["HOT"])
-    plan = fact._jdf.queryExecution().optimizedPlan().toString()
-    assert "count(1) AS _copies" in plan
-    assert fact.count() == 2500
+
+def test_one_hot_key_of_few_attributes_goes_to_many_tasks(spark, shuffled_joins, tmp_path):
+    lines = skewed(spark, 34)[0].withColumn("product_id", F.lit("HOT"))
+    hot_rows = "'HOT' AS product_id", "concat('K', id % 3) AS category", "'S' AS sub_category"
+    spark.range(400_000).selectExpr(*hot_rows).write.parquet(str(tmp_path / "p"))
+    products = spark.read.parquet(str(tmp_path / "p"))
+    dimension_slices(products, "product_id").write.parquet(str(tmp_path / "s"))
+    slices = spark.read.parquet(str(tmp_path / "s"))
+    assert rows(slices) == [("HOT", 40)]
+    fact = order_fact(lines, skewed(spark)[1], products, product_slices=slices)
+    sizes = [r[1] for r in fact.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 34 * 400_000
+    assert len(sizes) >= 12 and max(sizes) < sum(sizes) / 4
 
 
 @pytest.fixture
@@ -181,7 +208,11 @@ def shuffled_joins(spark):
 
 def test_null_keys_are_spread_over_the_tasks(spark, shuffled_joins, tmp_path):
     orders, customers, products = skewed(spark, 6000)
-    no_customer = orders.withColumn("customer_id", F.lit(None).cast("string"))
+    nothing = F.lit(None).cast("string")
+    days = F.date_add(F.lit(D(2016, 1, 1)), F.col("row_id") % 2000)
+    no_customer = orders.withColumns(
+        {"customer_id": nothing, "order_id": nothing, "profit": F.lit(None).cast("double"), "order_date": days}
+    )
     no_customer.write.parquet(str(tmp_path / "orders"))
     stored = spark.read.parquet(str(tmp_path / "orders"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -110,3 +110,18 @@ def test_stored_columns_must_match_the_declaration(spark, path, old, columns):
 def test_columns_come_in_declared_order_without_extras(spark, path, old):
     store_table(old.selectExpr("v", "k", "k as more"), path)
     assert load_table(spark, path, SCHEMA).schema == SCHEMA
+
+
+def test_data_without_a_marker_is_never_taken_for_empty(spark, path, old):
+    old.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    assert "_SUCCESS" not in os.listdir(path)
+    with pytest.raises(FileNotFoundError):
+        load_table(spark, path, SCHEMA)
+    assert bag(load_table(spark, path, SCHEMA, on_missing="empty")) == bag(old)
+
+
+def test_a_folder_without_data_is_missing(spark, path):
+    os.makedirs(f"{path}/_temporary/0")
+    assert load_table(spark, path, SCHEMA, on_missing="empty").count() == 0
+    with pytest.raises(FileNotFoundError):
+        load_table(spark, path, SCHEMA)

@@ -58,7 +58,7 @@ def test_files_to_rollups(spark, data_dir):
     assert bag(mart.read_orders_enriched()) == bag(spark.createDataFrame(ORDER_ROWS, ORDERS.schema))
     assert bag(mart.read_customers_enriched()) == sorted(CUSTOMER_ROWS, key=repr)
     assert bag(mart.read_products_enriched()) == sorted(PRODUCT_ROWS, key=repr)
-    assert mart.read_raw(PRODUCTS).first()["Price Per Product"] == "150.0"
+    assert mart.read_raw(PRODUCTS).first()["Price Per Product"] == "22.0"
     for layer, names in {
         "raw": "customers orders products",
         "enriched": "customers order_fact orders products",
@@ -70,7 +70,7 @@ def test_files_to_rollups(spark, data_dir):
 def test_building_again_replaces_every_table(spark, data_dir):
     write_files(data_dir)
     build_mart(spark, data_dir)
-    assert build_mart(spark, data_dir).order_fact.count() == 3
+    assert build_mart(spark, data_dir).order_fact.count() == 5
 
 
 def test_files_with_one_record_per_line(spark, data_dir):
@@ -90,7 +90,7 @@ def test_stored_profit_info_is_sorted(spark, data_dir, fact):
     assert rows(mart.read_profit_info().coalesce(1)) == EXPECTED[profit_info]
 
 
-BAD_CUSTOMER = ("CUST-002", "Jane Smith", *[None] * 7, "K1A 0B1", "West")
+BAD_CUSTOMER = ("K31", "Ottoline Marsh", *[None] * 7, "K1A 0B1", "Inland")
 
 
 def test_bad_value_stops_the_build(spark, data_dir):
@@ -106,7 +106,7 @@ def test_bad_value_can_become_null(spark, data_dir):
     assert rows(tables.profit_by_customer) == EXPECTED[profit_by_customer]
     customers = Mart(spark, data_dir).read_customers_enriched()
     assert {r.customer_id: r.postal_code for r in customers.collect()} == {
-        "CUST-001": 10001, "CUST-002": None,
+        "K20": 4107, "K31": None,
     }
 
 
@@ -121,6 +121,59 @@ def test_bad_values_that_became_null_are_reported(spark, data_dir, codes, count)
     assert mart.bad_values == {"customers": {"postal_code": count}}
 
 
+def cut_orders(data_dir):
+    """The shared orders' file, cut inside its third object, with a quantity that is text."""
+    write_files(data_dir)
+    path = f"{data_dir}/files/Orders.json"
+    with open(path) as f:
+        text = f.read().replace('"Quantity": 4', '"Quantity": "four"')
+    return path, text
+
+
+def test_a_cut_document_stops_the_build(spark, data_dir):
+    path, text = cut_orders(data_dir)
+    with open(path, "w") as f:
+        f.write(text[: text.index("B-08")])
+    with pytest.raises(Exception, match="malformed record"):
+        build_mart(spark, data_dir)
+    assert not os.path.exists(f"{data_dir}/raw/orders.parquet")
+
+
+def test_a_value_of_the_wrong_type_stops_the_build(spark, data_dir):
+    path, text = cut_orders(data_dir)
+    with open(path, "w") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="malformed record"):
+        build_mart(spark, data_dir)
+
+
+@pytest.mark.parametrize("options", [{"on_bad_value": "null"}, {"policy": "lenient"}])
+def test_malformed_records_are_counted_where_they_may_be_null(spark, data_dir, options):
+    path, text = cut_orders(data_dir)
+    mart = Mart(spark, data_dir, **options)
+    # Of an array with a malformed object every object counts.
+    for content, records, bad in ((text, 4, 4), (text[: text.index("B-08")], 1, 1)):
+        with open(path, "w") as f:
+            f.write(content)
+        assert mart.write_orders_raw(mart.read_orders_json()) is True
+        assert mart.read_raw(ORDERS).count() == records
+        assert mart.bad_records == {"orders": bad}
+    os.remove(path)
+    if options.get("policy"):
+        assert mart.write_orders_raw(mart.read_orders_json()) is True
+
+
+def test_malformed_lines_are_counted_one_by_one(spark, data_dir):
+    path, text = cut_orders(data_dir)
+    lines = [json.dumps(record) for record in json.loads(text)]
+    with open(path, "w") as f:
+        f.write("\n".join([*lines, lines[1][:40]]) + "\n")
+    mart = Mart(spark, data_dir, on_bad_value="null", multi_line=False)
+    mart.write_orders_raw(mart.read_orders_json())
+    assert mart.read_raw(ORDERS).count() == 5
+    assert mart.bad_records == {"orders": 2}
+
+
 def test_missing_source_stops_the_build(spark, data_dir):
     write_files(data_dir)
     os.remove(f"{data_dir}/files/Customer.xlsx")
@@ -165,11 +218,11 @@ def test_lenient_writers(spark, lenient, table):
 def test_lenient_fact_and_aggregate(spark, lenient, orders, customers, products, fact):
     assert lenient.create_order_fact(customers, orders, products) is True
     assert lenient.create_profit_info(lenient.read_order_fact()) is True
-    assert lenient.read_profit_info().count() == 3
+    assert lenient.read_profit_info().count() == 4
     wrong = spark.createDataFrame([], "col1 string")
     assert lenient.create_order_fact(wrong, orders, products) is False
     assert lenient.create_profit_info(wrong) is False
-    assert lenient.read_order_fact().count() == 3
+    assert lenient.read_order_fact().count() == 5
 
 
 def test_lenient_rollups(spark, lenient):

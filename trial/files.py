@@ -31,6 +31,10 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     objects.mapInPandas(array_lines, "value string").write.text(path)
 
 
+def write_json_lines(df: DataFrame, path: str) -> None:
+    df.write.json(path)
+
+
 def array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     opening = "["
     for batch in batches:

@@ -107,6 +107,8 @@ FROM ({ORDERS}) o"""
 ORACLES: dict[str, str] = {
     "src_products_csv": _products_source("product_name || ', 3.5\" disk' || chr(10) || '\"boxed\"'"),
     "src_orders_json": ORDERS_SOURCE,
+    "src_orders_json_lines": ORDERS_SOURCE,
+    "src_products_csv_lines": _products_source(),
     "src_customers_xlsx": CUSTOMERS_SOURCE,
     "raw_products": _products_source(),
     "raw_customers": CUSTOMERS_SOURCE,
@@ -121,6 +123,23 @@ SELECT customer_id, customer_name, CAST(NULL AS VARCHAR) AS email, CAST(NULL AS
        CAST(NULL AS VARCHAR) AS state, CAST(postal_code AS INTEGER) AS postal_code, region
 FROM ({CUSTOMERS}) c""",
     "enriched_orders": f"SELECT * REPLACE (CAST(profit AS DOUBLE) AS profit) FROM ({ORDERS}) o",
+    "enriched_products_lenient": f"""
+SELECT product_id, category, sub_category, product_name, state,
+       CASE WHEN CAST(product_id AS BIGINT) % 7 <> 0 THEN CAST(price AS DOUBLE) END AS price_per_product
+FROM ({PRODUCTS}) p""",
+    "enriched_customers_lenient": f"""
+SELECT customer_id, customer_name, CAST(NULL AS VARCHAR) AS email, CAST(NULL AS VARCHAR) AS phone,
+       CAST(NULL AS VARCHAR) AS address, segment, country, CAST(NULL AS VARCHAR) AS city,
+       CAST(NULL AS VARCHAR) AS state,
+       CASE WHEN CAST(customer_id AS BIGINT) % 5 <> 0 THEN CAST(postal_code AS INTEGER) END AS postal_code,
+       region
+FROM ({CUSTOMERS}) c""",
+    "enriched_orders_lenient": f"""
+SELECT * REPLACE (
+  CAST(profit AS DOUBLE) AS profit,
+  CASE WHEN CAST(order_id AS BIGINT) % 11 <> 0 THEN order_date END AS order_date,
+  CASE WHEN CAST(order_id AS BIGINT) % 13 <> 0 THEN ship_date END AS ship_date)
+FROM ({ORDERS}) o""",
     "order_fact": _fact(),
     "order_fact_orphans": GAPS,
     "order_fact_fanout": _fact(products=PRODUCTS_BY_STATE),
@@ -132,6 +151,16 @@ FROM ({CUSTOMERS}) c""",
     "profit_by_customer": BY_CUSTOMER,
     "profit_by_customer_year": BY_CUSTOMER_AND_YEAR,
     "profit_by_customer_year_sql": BY_CUSTOMER_AND_YEAR,
+    "profit_info_sql": _profit_info(GAPS),
+    "profit_by_year_sql": BY_YEAR,
+    "profit_by_year_category_sql": BY_YEAR_AND_CATEGORY,
+    "profit_by_customer_sql": BY_CUSTOMER,
+    "preview_order_fact": f"""{_fact()}
+ORDER BY order_id NULLS FIRST, order_date NULLS FIRST, ship_date NULLS FIRST,
+         ship_mode NULLS FIRST, quantity NULLS FIRST, price NULLS FIRST, discount NULLS FIRST,
+         profit NULLS FIRST, customer_id NULLS FIRST, customer_name NULLS FIRST,
+         country NULLS FIRST, product_id NULLS FIRST, category NULLS FIRST,
+         sub_category NULLS FIRST LIMIT 5""",
     "preview_profit_info": f"""{PROFIT_INFO_NONNULL}
 ORDER BY year DESC NULLS LAST, product_category NULLS FIRST,
          product_sub_category NULLS FIRST, customer NULLS FIRST LIMIT 5""",
@@ -143,4 +172,5 @@ ORDER BY total_profit DESC NULLS LAST, customer NULLS FIRST LIMIT 5""",
     "preview_top_customers_by_year": f"""{BY_CUSTOMER_AND_YEAR}
 ORDER BY year DESC NULLS LAST, total_profit DESC NULLS LAST, customer NULLS FIRST LIMIT 5""",
     "mart_from_files": _profit_info(_fact()),
+    "mart_from_lines": _profit_info(_fact()),
 }

@@ -135,5 +135,31 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the same with malformed values among the others
+
+
+def products_source_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.when(F.col("`Product ID`").cast("long") % 7 == 0, "on request")
+    good = products_source(spark, sf_dir)
+    return good.withColumn("Price Per Product", F.coalesce(price, "`Price Per Product`"))
+
+
+def customers_source_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.when(F.col("`Customer ID`").cast("long") % 5 == 0, "K1A 0B1")
+    good = customers_source(spark, sf_dir)
+    return good.withColumn("Postal Code", F.coalesce(code, "`Postal Code`"))
+
+
+def orders_source_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.col("`Order ID`").cast("long")
+    good = orders_source(spark, sf_dir)
+    return good.withColumns(
+        {
+            "Order Date": F.when(order % 11 == 0, "31/2/2016").otherwise(F.col("`Order Date`")),
+            "Ship Date": F.when(order % 13 == 0, "soon").otherwise(F.col("`Ship Date`")),
+        }
+    )
+
+
 def _as_source(df: DataFrame, table: Table, **texts: Column) -> DataFrame:
     return df.select([texts.get(c.name, F.col(c.name)).alias(c.source) for c in table.columns])

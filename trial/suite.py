@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import (
+    BY_CUSTOMER,
     BY_CUSTOMER_AND_YEAR,
+    BY_YEAR,
+    BY_YEAR_AND_CATEGORY,
     CUSTOMERS,
+    ORDER_FACT,
     ORDERS,
     PRODUCTS,
+    PROFIT_INFO,
     Mart,
     build_mart,
+    dimension_slices,
     order_fact,
     profit_by_customer,
     profit_by_customer_and_year,
@@ -26,10 +32,14 @@ from ledgerloom import (
     read_workbooks,
     rollup_sql,
 )
+from ledgerloom.operators.conform import OnBadValue
 from ledgerloom.paths import work_dir
 from ledgerloom.tables import Table
 from trial import shapes
-from trial.files import write_csv, write_json_arrays, write_workbooks
+from trial.files import write_csv, write_json_arrays, write_json_lines, write_workbooks
+
+#: Rows of a hot product's slice in the trial.
+HOT_PIECE_ROWS = 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +59,18 @@ def src_products_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, PRODUCTS)
 
 
+def src_products_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "products-csv-lines")
+    write_csv(shapes.products_source(spark, sf_dir), path)
+    return read_csv(spark, path, PRODUCTS, multi_line=False)
+
+
+def src_orders_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "orders-json-lines")
+    write_json_lines(shapes.orders_source(spark, sf_dir), path)
+    return read_json(spark, path, ORDERS, multi_line=False)
+
+
 def src_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "orders-json")
     write_json_arrays(shapes.orders_source(spark, sf_dir), path)
@@ -73,9 +95,9 @@ def stored_raw(table: Table, source: Query) -> Query:
     return query
 
 
-def stored_enriched(table: Table, source: Query) -> Query:
+def stored_enriched(table: Table, source: Query, on_bad_value: OnBadValue = "fail") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        mart = Mart(spark, work_dir(spark, "enriched"))
+        mart = Mart(spark, work_dir(spark, "enriched"), on_bad_value=on_bad_value)
         getattr(mart, f"write_{table.name}_enriched")(source(spark, sf_dir))
         return getattr(mart, f"read_{table.name}_enriched")()
 
@@ -105,6 +127,15 @@ def mart_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mart(spark, data_dir).profit_info
 
 
+def mart_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over files with one record per line, which Spark splits."""
+    data_dir = work_dir(spark, "mart-lines")
+    write_csv(shapes.products_source(spark, sf_dir), f"{data_dir}/files/Products.csv")
+    write_workbooks(shapes.customers_source(spark, sf_dir), f"{data_dir}/files/Customer.xlsx")
+    write_json_lines(shapes.orders_source(spark, sf_dir), f"{data_dir}/files/Orders.json")
+    return build_mart(spark, data_dir, multi_line=False).profit_info
+
+
 def write_source_files(spark: SparkSession, sf_dir: str, data_dir: str) -> None:
     write_csv(shapes.products_source(spark, sf_dir), f"{data_dir}/files/Products.csv")
     write_workbooks(shapes.customers_source(spark, sf_dir), f"{data_dir}/files/Customer.xlsx")
@@ -138,11 +169,16 @@ def order_fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_fact_hot_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact whose hot product is found and dealt over slices, small ones so that there are some."""
+    products = shapes.products_with_hot_id(spark, sf_dir)
+    path = work_dir(spark, "slices")
+    dimension_slices(products, "product_id", HOT_PIECE_ROWS).write.parquet(path)
     return order_fact(
         shapes.orders(spark, sf_dir),
         shapes.customers(spark, sf_dir),
-        shapes.products_with_hot_id(spark, sf_dir),
-        hot_products=["0"],
+        products,
+        product_slices=spark.read.parquet(path),
+        piece_rows=HOT_PIECE_ROWS,
     )
 
 
@@ -158,13 +194,15 @@ def first_five(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def preview_order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Any five rows of the stored fact."""
-    return stored_order_fact(spark, sf_dir).limit(5)
+    """The first five rows of the stored fact, ordered by all of its columns."""
+    return stored_order_fact(spark, sf_dir).orderBy(ORDER_FACT.names).limit(5)
 
 
 QUERIES: dict[str, Query] = {
     "src_products_csv": src_products_csv,
     "src_orders_json": src_orders_json,
+    "src_orders_json_lines": src_orders_json_lines,
+    "src_products_csv_lines": src_products_csv_lines,
     "src_customers_xlsx": src_customers_xlsx,
     "raw_products": stored_raw(PRODUCTS, shapes.products_source),
     "raw_customers": stored_raw(CUSTOMERS, shapes.customers_source),
@@ -172,6 +210,9 @@ QUERIES: dict[str, Query] = {
     "enriched_products": stored_enriched(PRODUCTS, shapes.products_source),
     "enriched_customers": stored_enriched(CUSTOMERS, shapes.customers_source),
     "enriched_orders": stored_enriched(ORDERS, shapes.orders_source),
+    "enriched_products_lenient": stored_enriched(PRODUCTS, shapes.products_source_bad, "null"),
+    "enriched_customers_lenient": stored_enriched(CUSTOMERS, shapes.customers_source_bad, "null"),
+    "enriched_orders_lenient": stored_enriched(ORDERS, shapes.orders_source_bad, "null"),
     "order_fact": stored_order_fact,
     "order_fact_orphans": fact_with_gaps,
     "order_fact_fanout": order_fact_fanout,
@@ -182,6 +223,10 @@ QUERIES: dict[str, Query] = {
     "profit_by_year_category": over_gaps(profit_by_year_and_category),
     "profit_by_customer": over_gaps(profit_by_customer),
     "profit_by_customer_year": over_gaps(profit_by_customer_and_year),
+    "profit_info_sql": over_gaps(lambda f: rollup_sql(f, PROFIT_INFO)),
+    "profit_by_year_sql": over_gaps(lambda f: rollup_sql(f, BY_YEAR)),
+    "profit_by_year_category_sql": over_gaps(lambda f: rollup_sql(f, BY_YEAR_AND_CATEGORY)),
+    "profit_by_customer_sql": over_gaps(lambda f: rollup_sql(f, BY_CUSTOMER)),
     "profit_by_customer_year_sql": over_gaps(lambda f: rollup_sql(f, BY_CUSTOMER_AND_YEAR)),
     "preview_order_fact": preview_order_fact,
     "preview_profit_info": first_five(lambda f: profit_info_with_product(profit_info(f))),
@@ -190,4 +235,5 @@ QUERIES: dict[str, Query] = {
     "preview_top_customers": first_five(profit_by_customer),
     "preview_top_customers_by_year": first_five(profit_by_customer_and_year),
     "mart_from_files": mart_from_files,
+    "mart_from_lines": mart_from_lines,
 }
