@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from ledgerloom.llm.quality import host_rules
+from ledgerloom.llm.sharding import shard_by_bytes
+from tests.conftest import rows
+
+DOCS = "doc_id long, text string, lang string, source string, shard string, size string, n_words string"
+
+
+def docs(spark, *records):
+    return spark.createDataFrame([(i, t, "en", s, "x", "y", "z") for i, t, s in records], DOCS)
+
+
+def shards_by_hand(records, shards):
+    """Placement by prefix sums in one pass; equal rows are told apart by nothing."""
+    sized = sorted(
+        (i is not None, i or 0, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in records
+    )
+    total, before, found = sum(r[2] for r in sized), 0, []
+    for known, key, size, crc in sized:
+        shard = min(shards - 1, (2 * before + size) * shards // (2 * total))
+        slot = sum(f[3] == shard for f in found)
+        found.append((key if known else None, size, crc, shard, slot))
+        before += size
+    return found
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_shards_of_awkward_rows(spark, parts):
+    rnd = random.Random(4)
+    records = [(rnd.choice([None, *range(30)]), rnd.choice([None, "", "é" * rnd.randint(1, 60), "ab"]), "s") for _ in range(400)]
+    records += [(7, "same", "s")] * 200 + [(500, "x" * 9000, "s")]
+    found = shard_by_bytes(docs(spark, *records).repartition(parts), 8)
+    assert found.columns == ["doc_id", "size", "text_crc32", "shard", "slot"]
+    assert Counter(rows(found)) == Counter(shards_by_hand(records, 8))
+
+
+def test_shards_are_balanced(spark):
+    rnd = random.Random(5)
+    records = [(i, "w" * rnd.randint(0, 300), "s") for i in range(3000)]
+    sizes = Counter()
+    for r in shard_by_bytes(docs(spark, *records), 8).collect():
+        sizes[r.shard] += r.size
+    assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 2 * 301
+
+
+def test_shards_of_nothing(spark):
+    assert rows(shard_by_bytes(docs(spark), 8)) == []
+
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def facts_by_hand(text):
+    words = WORD.findall(text or "")
+    grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often = Counter(grams)
+    repeated = {i + k for i, g in enumerate(grams) if often[g] > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated)
+
+
+def test_facts_against_brute_force(spark):
+    rnd = random.Random(6)
+    gaps = [" ", "\n", "\t", "  ", "\n\n", "\x0b", " ", " # "]
+    texts = [None, "", " \n ", "a", "a b c d e a b c d e", "a a a a a a a", "x y\nx y\n x y", "né " * 4000]
+    texts += ["".join(rnd.choice("abcé") + rnd.choice(gaps) for _ in range(rnd.randint(1, 80))) for _ in range(200)]
+    found = host_rules(docs(spark, *[(i, t, "h") for i, t in enumerate(texts)]))
+    got = {r.doc_id: tuple(r[1:6]) for r in found.collect()}
+    assert got == {i: facts_by_hand(t) for i, t in enumerate(texts)}
+
+
+def test_bad_hosts_lose_all_documents_and_small_ones_get_the_benefit_of_the_doubt(spark):
+    good, bad = "one two three four five six seven eight nine ten {}", "short {}"
+    records = [(i, good.format(i), f"host{i % 20}") for i in range(600)]
+    records += [(1000 + i, bad.format(i), "junk") for i in range(60)] + [(1100, good.format("j"), "junk")]
+    records += [(2000, bad.format(1), "tiny"), (2001, good.format("t"), "tiny")]
+    records += [(3000, good.format("n"), None), (3001, bad.format("n"), None), (3002, None, None), (3000, good.format("n"), None)]
+    found = host_rules(docs(spark, *records)).collect()
+    kept = Counter(r.doc_id for r in found if r.kept)
+    assert kept == Counter([*range(600), 2001, 3000, 3000])
+    assert {r.doc_id for r in found if r.base_failed} == {*range(1000, 1060), 2000, 3001, 3002}
+    rates = {r.host_rate for r in found if r.doc_id >= 3000}
+    assert rates == {None} and len(found) == len(records)
+
+
+def test_rules_of_nothing(spark):
+    assert rows(host_rules(docs(spark))) == []
