@@ -78,7 +78,9 @@ class Parser:
     """Suffix automata of all languages as one table of moves.
 
     The table says for a state and a character where the parse goes on. If the phrase ends
-    before the character, that is the state after the character alone, with a flag.
+    before the character, that is the state after the character alone, with a flag. A
+    character that the sample hasn't is a phrase alone: it leads to a state (``base + n``)
+    that goes nowhere on.
     """
 
     FLAG = 1 << 30
@@ -98,11 +100,12 @@ class Parser:
             n = int(max(own.state.max(), own.target.max())) + 1
             table = np.full((n, width), -1, np.int32)
             table[own.state, own.char.map(self.code)] = own.target + base
-            first = np.where(table[0] < 0, base, table[0])
+            first = np.where(table[0] < 0, base + n, table[0])
             table = np.where(table < 0, first | self.FLAG, table)
-            tables.append(table)
+            table[0] = first  # a text's first character ends no phrase
+            tables.append(np.concatenate([table, (first | self.FLAG)[None]]))
             self.starts.append(base)
-            base += n
+            base += n + 1
         self.width = width
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
 
@@ -145,7 +148,7 @@ class Parser:
         return total
 
 
-def _predictor(moves: pd.DataFrame):
+def _predictor(moves: pd.DataFrame, keep_text: bool = False):
     parser = Parser(moves)
     langs = [*parser.langs, UNDETERMINED]
 
@@ -165,7 +168,8 @@ def _predictor(moves: pd.DataFrame):
             score = np.where(letters, won, 0.0)
             sizes = np.array([len(t) for t in texts])
             rate = np.where(letters, ranked[:, 0] / np.maximum(sizes, 1), 0.0)
-        kept = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+        names = [name for name in batch.schema.names if keep_text or name != "text"]
+        kept = {name: batch.column(name) for name in names}
         new = {
             "lang_pred": pa.array([langs[i] for i in best], pa.string()),
             "score": pa.array(score),
@@ -217,10 +221,11 @@ def identify_languages(docs: DataFrame, moves: pd.DataFrame, *keep: str) -> Data
     gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(moves)  # bounded by the samples
-    kept = docs.select(*keep, "text")
+    keep_text = "text" in keep
+    kept = docs.select(*keep) if keep_text else docs.select(*keep, "text")
     return kept.mapInArrow(
-        over_slices(lambda: _predictor(model.value)),
-        beside(kept, "text", "lang_pred string, score double, phrase_rate double"),
+        over_slices(lambda: _predictor(model.value, keep_text)),
+        beside(kept, "" if keep_text else "text", "lang_pred string, score double, phrase_rate double"),
     )
 
 
