@@ -147,18 +147,10 @@ def host_rates(judged: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("host_docs"), F.count_if("failed").alias("_failures")
     )
     rate = F.col("_failures") / F.col("host_docs")
-    moments = counts.agg(  # partial sums from each task, one row in the end
-        F.avg(rate).alias("_mean"), F.var_samp(rate).alias("_var")
-    )
-    spread = F.col("_mean") * (1 - F.col("_mean"))
-    fits = (F.col("_var") > 1e-9) & (F.col("_var") < spread)
-    weight = F.when(fits, spread / F.col("_var") - 1).otherwise(2.0)
-    mean = F.when(fits, F.col("_mean")).otherwise(0.5)
-    prior = moments.select((mean * weight).alias("_a"), weight.alias("_ab"))
-    return counts.join(F.broadcast(prior)).select(  # prior is one row
-        "_host",
-        "host_docs",
-        F.round((F.col("_failures") + F.col("_a")) / (F.col("host_docs") + F.col("_ab")), 6).alias(
-            "host_rate"
-        ),
-    )
+    mean, var = counts.agg(F.avg(rate), F.var_samp(rate)).first()  # two numbers
+    if var is not None and 1e-9 < var < mean * (1 - mean):
+        weight = mean * (1 - mean) / var - 1
+    else:
+        mean, weight = 0.5, 2.0
+    shrunk = (F.col("_failures") + mean * weight) / (F.col("host_docs") + weight)
+    return counts.select("_host", "host_docs", F.round(shrunk, 6).alias("host_rate"))
