@@ -19,8 +19,16 @@ from ledgerloom.llm.pii import redact
 
 
 def _row(docs: DataFrame) -> DataFrame:
-    """Each document as one column, so that no name can clash, and its text."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    """Each document's text, and what else it has as one column, so that no name can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("row"), "text")
+
+
+def _unrow(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(
+        [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    )
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +40,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     moves = fit_languages(labelled.where(~held_out(F.col("doc_id"))))
     if not len(moves):  # nothing is labelled, so nothing can be told apart
         return docs
-    found = identify_languages(_row(docs), moves, "row")
-    return found.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    found = identify_languages(_row(docs), moves, "row", "text")
+    return _unrow(found.where(F.col("lang_pred") != UNDETERMINED), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +66,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item, as it is or edited."""
     found = find_leaks(_row(docs), read_table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("matches") == 0).select("row.*")
+    return _unrow(found.where(F.size("matches") == 0), docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from ledgerloom.llm.common import beside, over_slices
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 #: Units of a generation: those of this and the last are kept. Only speed depends on it.
-KEPT_UNITS = 200_000
+KEPT_UNITS = 100_000
 SHORT_UNIT = 60
 
 codecs.register_error("each", lambda e: ("�" * (e.end - e.start), e.end))
