@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 import subprocess
 import sys
+import zipfile
+from io import BytesIO
 
 import pytest
 from pyspark import cloudpickle
@@ -10,7 +12,7 @@ from pyspark import cloudpickle
 from ledgerloom import CUSTOMERS, ORDERS, PRODUCTS, empty_table, read_csv, read_json, read_workbooks
 from ledgerloom.sources.workbook import table_batches
 from tests.conftest import bag, rows
-from trial.files import pack
+from trial.files import RELATIONS, pack
 
 HEADER = "Product ID,Category,Sub-Category,Product Name,State,Price Per Product\n"
 
@@ -197,6 +199,27 @@ def test_workbook_sheet_with_absolute_target(spark, tmp_path):
     assert read_book(spark, tmp_path, content)[0][0] == "C1"
 
 
+def with_chart_sheet_first(content):
+    """The workbook with a chart sheet listed before its sheet."""
+    out = BytesIO()
+    with zipfile.ZipFile(BytesIO(content)) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            part = old.read(name).decode()
+            if name == "xl/workbook.xml":
+                part = part.replace("<sheets>", '<sheets><sheet name="Chart" sheetId="9" r:id="rId9"/>')
+            if name.endswith(".rels"):
+                kind = f"{RELATIONS}/chartsheet"
+                chart = f'<Relationship Id="rId9" Type="{kind}" Target="chartsheets/sheet1.xml"/>'
+                part = part.replace("</Relationships>", f"{chart}</Relationships>")
+            new.writestr(name, part)
+    return out.getvalue()
+
+
+def test_workbook_whose_first_sheet_is_a_chart(spark, tmp_path):
+    content = book(f'<row r="2">{text("A2", "K1")}</row>')
+    assert read_book(spark, tmp_path, with_chart_sheet_first(content)) == [("K1", *[None] * 10)]
+
+
 def test_file_that_is_not_a_workbook_fails(spark, tmp_path):
     with pytest.raises(Exception, match="BadZipFile"):
         read_book(spark, tmp_path, b"notes")
