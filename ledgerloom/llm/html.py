@@ -4,7 +4,9 @@ Markup is stripped, which leaves one line for each block. The text lengths of ev
 lines in a row are summed. Where the sums surge the article begins, where they dive to
 nothing it ends, and what lies between is kept. Lines that markup itself calls something
 else (menus, footers, forms, adverts, comments and so on) have no length, nor has link
-text; what markup calls the article needs no surge.
+text. What markup calls the article is measured like all else. Only where it holds at least
+half of the page's text does it weigh more: then its links count as text, and a side note
+within is no dive.
 """
 
 from __future__ import annotations
@@ -63,7 +65,8 @@ class Line:
     text: str
     length: int  # without link text; none in what isn't the article
     side: bool  # markup says that it isn't the article
-    article: bool  # markup says that it is
+    article: bool  # markup says that it is, or that it's a side note of one
+    main: bool  # the same, or markup only says that the page's main part is around it
 
 
 def _is_side(name: str, attributes: str, in_article: bool) -> bool:
@@ -145,7 +148,8 @@ def page_lines(page: str) -> list[Line]:
             side = side or (in_header and article and not heading)
             side = side or (not article and _RIGHTS.match(joined) is not None)
             length = 0 if side else max(0, len(joined) - linked)
-            lines.append(Line(joined, length, side, article))
+            inside = any(t[0] == "article" and t[2] and not t[1] for t in open_tags)
+            lines.append(Line(joined, length, side, inside, article))
         text.clear()
         linked = 0
 
@@ -202,10 +206,12 @@ def page_lines(page: str) -> list[Line]:
 def main_blocks(page: str) -> list[str]:
     """The blocks of the page's main text."""
     lines = page_lines(page)
-    if any(x.article and not x.side for x in lines):
-        # What lies outside the article has no length then: it dives at the article's ends.
-        return [x.text for x in lines if x.article and not x.side]
-    length = [x.length for x in lines]
+    total = sum(x.length for x in lines)
+    if 2 * sum(x.length for x in lines if x.article) >= total:
+        lines = [x for x in lines if not (x.side and x.article)]
+        length = [len(x.text) if x.article else x.length for x in lines]
+    else:
+        length = [x.length for x in lines]
     padded = length + [0] * WINDOW
     sums = [sum(padded[i : i + WINDOW]) for i in range(len(length))]
     keep = [False] * len(lines)
@@ -223,8 +229,10 @@ def main_blocks(page: str) -> list[str]:
         for j in range(start, end):
             keep[j] = not lines[j].side
         i = max(end, i + 1)
-    if not any(keep):  # no surge: a page of a few short lines
-        keep = [bool(n) for n in length]
+    if not any(keep):  # no surge: a page of a few short lines, of which markup may tell the main ones
+        marked = [bool(n) and x.main for n, x in zip(length, lines, strict=True)]
+        share = sum(n for n, k in zip(length, marked, strict=True) if k)
+        keep = marked if share and 2 * share >= sum(length) else [bool(n) for n in length]
     return [x.text for x, k in zip(lines, keep, strict=True) if k]
 
 

@@ -48,3 +48,34 @@ def test_awkward_rows(spark):
     found = extract_main_text(pages, "page_id", "url")
     assert sorted(rows(found), key=repr) == sorted([(1, "u", ""), (1, "u", ""), (None, None, "a\n\nb"), (3, "u", "")], key=repr)
     assert rows(extract_main_text(pages.limit(0), "page_id", "url")) == []
+
+
+CARD = "<article><h3><a>Another story</a></h3><p>Its teaser.</p></article>"
+LINKS = "<ul><li><a>one</a></li><li><a>two</a></li><li><a>three</a></li></ul>"
+
+
+@pytest.mark.parametrize("page", [f"{CARD}{LINKS}<div><p>{LONG}</p><p>end</p></div>", f"<div><p>{LONG}</p><p>end</p></div>{LINKS}{CARD}"])
+def test_an_article_card_does_not_hide_a_body_in_a_div(page):
+    assert main_blocks(page) == [LONG.strip(), "end"]
+
+
+def test_long_cards_beside_a_body_hide_nothing():
+    page = f"<div><p>{LONG * 3}</p></div>{LINKS}<article><p>{LONG}</p></article>"
+    assert main_blocks(page) == [(LONG * 3).strip(), LONG.strip()]
+
+
+def test_boilerplate_in_main_is_left_by_surge_and_dive():
+    page = f"<main><p>Welcome</p>{LINKS}<div><h1>Head</h1><p>{LONG}</p></div>{LINKS}<p>Call us</p></main>"
+    assert main_blocks(page) == ["Head", LONG.strip()]
+
+
+def test_an_article_with_most_of_the_text_is_whole():
+    aside = "<aside><p>a</p><p>b</p><p>c</p></aside>"
+    page = f"<article><h1><a>Head</a></h1><p>{LONG}</p>{aside}<p>short</p>{LINKS}<p>end</p></article>"
+    assert main_blocks(page) == ["Head", LONG.strip(), "short", "one", "two", "three", "end"]
+    assert main_blocks("<div>Shop</div><article><a>only a link</a></article>") != []
+
+
+def test_a_short_page_is_of_its_main_part():
+    assert main_blocks("<div>Shop</div><main><p>short text</p></main>") == ["short text"]
+    assert main_blocks(f"<div><p>A short text of the page</p></div>{CARD}") == ["A short text of the page", "Its teaser."]
