@@ -18,6 +18,10 @@ from ledgerloom.llm.pieces import encode_pieces
 from ledgerloom.llm.pii import redact
 
 
+#: Near copies: words of a shingle, and the least similarity in hundredths.
+COPY_WORDS, COPY_PERCENT = 5, 80
+
+
 def _row(docs: DataFrame) -> DataFrame:
     """Each document's text, and what else it has as one column, so that no name can clash."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
@@ -47,6 +51,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of linked documents the one with the least doc_id.
 
+    Documents link if the Jaccard similarity of their five-word shingles is 0.8 or more.
     Rows that share a doc_id are told apart by a hash of all their columns; of rows
     repeated whole one is kept. Documents without words are in no group and stay.
     """
@@ -54,7 +59,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(whole.alias("row"), identity.alias("doc"))
     keys = docs.select(identity.alias("doc"), "text")
-    found = jaccard_components(keys, "doc")
+    found = jaccard_components(keys, "doc", COPY_WORDS, COPY_PERCENT)
     gone = found.where(F.col("doc") != F.col("component_id")).select("doc").distinct()
     repeated = found.where(F.col("doc") == F.col("component_id")).groupBy("doc").count().where("count > 1")
     marked = gone.select("doc", F.lit(True).alias("gone")).union(repeated.select("doc", F.lit(False)))

@@ -14,6 +14,7 @@ import sentencepiece
 
 import corpus_pipeline
 from __spark_entry__ import queries
+from ledgerloom.llm import jaccard
 from ledgerloom.llm.queries import ORACLES, QUERIES
 from tests.llm.test_similarity import linked_by_hand
 
@@ -99,3 +100,36 @@ def test_query_matches_its_sql(spark, duck, name):
 @needs_tables
 def test_each_operator_has_its_query():
     assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+
+
+def five_word_groups(texts):
+    """The first text of each text's group by five-word shingles and a similarity of 0.8, all pairs."""
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in (t.split() for t in texts)]
+    first = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            same = len(sets[a] & sets[b])
+            if sets[a] and 10 * same >= 8 * (len(sets[a]) + len(sets[b]) - same):
+                low, high = sorted((first[a], first[b]))
+                first = [low if x == high else x for x in first]
+    return first
+
+
+@pytest.mark.parametrize(("bucket", "sample"), [(32, 4096), (2, 16)])
+def test_near_copies_against_a_five_word_brute_force(spark, monkeypatch, bucket, sample):
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", bucket)
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", sample)
+    rnd = random.Random(bucket)
+    base = [f"b{i}" for i in range(100)]
+    texts = [" ".join(base), " ".join(base + [f"c{i}" for i in range(18)])]  # 96/114, but 97/115 by four words
+    other = [f"o{i}" for i in range(100)]
+    texts += [" ".join(other), " ".join(other + [f"p{i}" for i in range(24)]), " ".join(other + [f"q{i}" for i in range(25)])]  # 0.8 and under
+    for _ in range(30):
+        words = rnd.choices([f"w{i}" for i in range(200)], k=rnd.randint(1, 80))
+        texts.append(" ".join(words))
+        for share in (0.01, 0.02, 0.04, 0.08):
+            texts.append(" ".join("zz" if rnd.random() < share else w for w in words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
+    assert found == set(five_word_groups(texts))
+    assert 1 not in found and 3 not in found and 4 in found
