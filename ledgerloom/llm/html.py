@@ -31,6 +31,8 @@ BLOCKS = frozenset(
 )
 SPACES = frozenset(("br", "td", "th", "wbr"))
 RAW = frozenset("script style noscript template iframe object svg math canvas textarea select".split())
+#: Of these, the ones that a slash closes at once, and the ones that run to the page's end if unclosed.
+FOREIGN, TO_THE_END = frozenset(("svg", "math")), frozenset(("script", "style", "textarea"))
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 OTHER = frozenset("nav aside footer form head menu dialog button".split())
 OTHER_ROLES = frozenset(
@@ -96,6 +98,7 @@ def _is_side(name: str, attributes: str, in_article: bool) -> bool:
 def _pieces(page: str):
     """The page's texts as ``(None, text, "")`` and its tags as ``(name, attributes, slash)``."""
     at, quoted, n = 0, True, len(page)
+    unclosed: set[str] = set()
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -124,8 +127,17 @@ def _pieces(page: str):
         slash, name, attributes = tag[1], tag[2].lower(), tag[3]
         at = tag.end()
         if name in RAW and not slash:
-            close = re.compile(f"</{name}[^>]*>", re.IGNORECASE).search(page, at)
-            at = n if close is None else close.end()
+            if name in FOREIGN and attributes.endswith("/"):
+                continue
+            close = None
+            if name not in unclosed:
+                close = re.compile(f"</{name}[^>]*>", re.IGNORECASE).search(page, at)
+            if close is not None:
+                at = close.end()
+            elif name in TO_THE_END:
+                at = n
+            else:
+                unclosed.add(name)  # no later tag closes it either
             continue
         yield name, attributes, slash
 

@@ -79,3 +79,14 @@ def test_an_article_with_most_of_the_text_is_whole():
 def test_a_short_page_is_of_its_main_part():
     assert main_blocks("<div>Shop</div><main><p>short text</p></main>") == ["short text"]
     assert main_blocks(f"<div><p>A short text of the page</p></div>{CARD}") == ["A short text of the page", "Its teaser."]
+
+
+@pytest.mark.parametrize("tag", ["<svg/>", "<svg class='i' viewBox='0 0 1 1' />", "<math/>", "<svg a=b/ />", "<noscript>", "<object>", "<canvas>", "<template>", "<select>", "<iframe>", "<svg>"])
+def test_what_is_never_closed_hides_no_later_text(tag):
+    assert main_blocks(f"<article><p>a</p>{tag}<p>b</p></article>") == ["a", "b"]
+
+
+def test_what_is_closed_is_still_skipped():
+    assert main_blocks("<p>a</p><svg/><p>b</p><svg><text>c</text></svg><noscript>d</noscript><p>e</p>") == ["a", "b", "e"]
+    assert main_blocks("<p>a</p><script>b<p>c</p>") == ["a"]
+    assert len(main_blocks("<p>x<object>" * 20_000)) == 20_000
