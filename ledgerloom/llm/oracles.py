@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-#: CRC-32 of each text, byte by byte, over a table made from the reversed polynomial.
-_CRC = """
+#: CRC-32, byte by byte, over a table made from the reversed polynomial.
+_CRC_TABLE = """
 crc_table AS (
   SELECT list(c ORDER BY n) AS t FROM (
     WITH RECURSIVE steps(n, k, c) AS (
@@ -11,13 +11,21 @@ crc_table AS (
       UNION ALL
       SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END
       FROM steps WHERE k < 8)
-    SELECT n, c FROM steps WHERE k = 8)),
-crc AS (
-  SELECT doc_id, text, CASE WHEN text IS NULL THEN 0 ELSE xor(4294967295, list_reduce(
+    SELECT n, c FROM steps WHERE k = 8))
+"""
+
+
+def _crc_of(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(
     list_prepend(4294967295::BIGINT,
-      list_transform(range(1, 2 * strlen(text), 2),
-        lambda i: ('0x' || substr(hex(encode(text)), i, 2))::BIGINT)),
-    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) END AS text_crc32
+      list_transform(range(1, 2 * strlen({text}), 2),
+        lambda i: ('0x' || substr(hex(encode({text})), i, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+
+_CRC = f"""{_CRC_TABLE},
+crc AS (
+  SELECT doc_id, text, CASE WHEN text IS NULL THEN 0 ELSE {_crc_of("text")} END AS text_crc32
   FROM documents, crc_table)
 """
 
@@ -199,5 +207,81 @@ SELECT doc_id, coalesce(len(ws), 0)::BIGINT AS n_words,
        (coalesce(len(ws), 0) - coalesce(n, 0))::BIGINT AS n_removed,
        sha256(coalesce(text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)
+""",
+    "op11_strassen_negatives": """
+WITH labelled AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings),
+r AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM labelled
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""",
+    "op12_line_bitmaps": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+repeated AS (
+  SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines,
+       count(*) FILTER (last_doc IS NOT NULL AND doc_id < last_doc) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
+                FILTER (last_doc IS NULL OR doc_id >= last_doc), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (key) GROUP BY doc_id
+""",
+    "op13_fm_spelling": f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]+')) AS run
+  FROM documents),
+hashed AS (
+  SELECT run, {_crc_of("doc_id || ':' || run")} AS h FROM runs, crc_table WHERE length(run) >= 7),
+cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+         ELSE run END AS word
+  FROM hashed),
+words AS (
+  SELECT word, count(*) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+less AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM words, LATERAL (SELECT unnest(range(length(word))) AS i)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n AS near_n
+  FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n
+  FROM near GROUP BY word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+followed AS (
+  SELECT word, word AS reached, form AS onward FROM formed
+  UNION ALL
+  SELECT f.word, f.onward, g.form FROM followed f JOIN formed g ON f.onward = g.word)
+SELECT word, form, reached AS root, n, n_near, form_n::BIGINT AS form_n
+FROM followed JOIN formed USING (word) WHERE onward IS NULL
 """,
 }

@@ -14,11 +14,14 @@ from ledgerloom.llm.decontaminate import find_leaks
 from ledgerloom.llm.html import extract_main_text
 from ledgerloom.llm.jaccard import jaccard_components
 from ledgerloom.llm.language import fit_languages, held_out, identify_languages
+from ledgerloom.llm.lines import keep_bitmaps, keep_lines
+from ledgerloom.llm.negatives import hard_negatives
 from ledgerloom.llm.oracles import ORACLES
 from ledgerloom.llm.pieces import encode_pieces
 from ledgerloom.llm.pii import BASE_KINDS, find_pii
 from ledgerloom.llm.quality import host_rules
 from ledgerloom.llm.sharding import shard_by_bytes
+from ledgerloom.llm.spelling import count_words, variant_groups
 from ledgerloom.llm.substrings import remove_repeats
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -134,6 +137,27 @@ def op10_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0, label=label)
+
+
+def op12_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    kept = keep_lines(docs, keep_bitmaps(docs))
+    return kept.select(
+        F.col("doc").alias("doc_id"),
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.col("n_dropped").cast("long").alias("n_dropped"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+def op13_fm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(count_words(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_host_rules": op2_host_rules,
@@ -145,4 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rare_seeds": op8_rare_seeds,
     "op9_pieces": op9_pieces,
     "op10_adaptive_prefixes": op10_adaptive_prefixes,
+    "op11_strassen_negatives": op11_strassen_negatives,
+    "op12_line_bitmaps": op12_line_bitmaps,
+    "op13_fm_spelling": op13_fm_spelling,
 }
