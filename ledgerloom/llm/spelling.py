@@ -93,9 +93,18 @@ def near_words(words: DataFrame) -> DataFrame:
 
 
 def _search_block(block: pa.Table) -> pa.Table:
-    """All searches of one block; a pair that both halves would find counts for the right one."""
+    """All searches of one block.
+
+    A pair that both halves would find counts for the right one. A word that lies in the block
+    for another half than the one that is asked for counts where it lies for that.
+    """
     by_left = block["role"][0].as_py() == 0
-    found, counts = _different(block.filter(block["found"]))
+    listed = block.filter(block["found"])
+    lies_for = {
+        (_half(word, by_left, own), word)
+        for word, own in zip(listed["word"].to_pylist(), listed["asks"].to_pylist())
+    }
+    found, counts = _different(listed)
     asking, _ = _different(block.filter(block["asks"]))
     halves = np.fromiter((len(w) // 2 for w in asking), np.int64, len(asking))
     exact = halves if by_left else np.fromiter(map(len, asking), np.int64, len(asking)) - halves
@@ -103,10 +112,13 @@ def _search_block(block: pa.Table) -> pa.Table:
     indexed = Words([turned(w) for w in found])
     queries = Words([turned(w) for w in asking], indexed.letters)
     query, near = one_error_before(FmIndex(indexed), queries, exact)
-    if by_left:
-        both = [found[v].endswith(asking[q][len(asking[q]) // 2 :]) for q, v in zip(query.tolist(), near.tolist())]
-        once = ~np.array(both, bool)
-        query, near = query[once], near[once]
+    once = np.zeros(len(query), bool)
+    for place, (q, v) in enumerate(zip(query.tolist(), near.tolist())):
+        asked, other = asking[q], found[v]
+        once[place] = (_half(asked, by_left), other) in lies_for and not (
+            by_left and other.endswith(_half(asked, False))
+        )
+    query, near = query[once], near[once]
     n = counts[near]
     rank = np.argsort(np.argsort(np.array(found, object))) if found else np.empty(0, np.int64)
     order = np.lexsort((rank[near], -n, query))
@@ -122,6 +134,15 @@ def _search_block(block: pa.Table) -> pa.Table:
     )
 
 
+def _half(word: str, left: bool, own: bool = True) -> str:
+    """A word's left or right half; or the half of the words, longer or shorter by one, that differs."""
+    n = len(word)
+    middle = n // 2
+    if not own:  # both halves meet one place later in the longer words, one earlier in the shorter
+        middle += 1 if n % 2 else -1
+    return word[:middle] if left else word[middle:]
+
+
 def _different(rows: pa.Table) -> tuple[list[str], np.ndarray]:
     once = rows.group_by("word").aggregate([("n", "max")])
     return once["word"].to_pylist(), once["n_max"].to_numpy()
