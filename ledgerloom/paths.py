@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,6 +47,79 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def children(spark: SparkSession, location: str) -> list[str]:
+    """Names in a folder, none if it isn't there."""
+    fs, path = _resolve(spark, location)
+    if not fs.exists(path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(path))
+
+
+def read_text(spark: SparkSession, location: str) -> str | None:
+    """A small file, or None if it isn't there."""
+    fs, path = _resolve(spark, location)
+    fs = _without_checksums(fs)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, location: str, text: str, rename: bool = True) -> None:
+    """Replace a small file in one step, so that readers find the old or the new content.
+
+    With ``rename`` the text is written beside it and renamed over it, which HDFS and local
+    file systems do at once. An object store does the same with a plain overwrite, as an object
+    appears when its upload is complete, but copies to rename; there turn it off.
+    """
+    fs, path = _resolve(spark, location)
+    fs = _without_checksums(fs)
+    target = path
+    if rename:
+        target = spark._jvm.org.apache.hadoop.fs.Path(sibling(location, "put"))
+    try:
+        stream = fs.create(target, True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        if rename:
+            _rename_over(spark, fs, target, path)
+    except Exception:
+        if rename:
+            fs.delete(target, False)
+        raise
+
+
+def _without_checksums(fs):
+    """A local file system keeps checksums in a second file, which can't change at the same time."""
+    return fs.getRawFileSystem() if fs.getClass().getSimpleName() == "LocalFileSystem" else fs
+
+
+def _rename_over(spark: SparkSession, fs, source, target) -> None:
+    if fs.getUri().getScheme() == "file":
+        os.replace(source.toUri().getPath(), target.toUri().getPath())  # Hadoop's own doesn't overwrite
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    overwrite = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(source, target, overwrite)
+
+
+def newest_change(spark: SparkSession, location: str) -> int:
+    """When the folder or any file below it last changed, in milliseconds."""
+    fs, path = _resolve(spark, location)
+    newest = fs.getFileStatus(path).getModificationTime()
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        newest = max(newest, files.next().getModificationTime())
+    return newest
+
+
 def sibling(location: str, role: str) -> str:
     """A fresh hidden name next to ``location``; Spark never lists it as data."""
     parent, _, name = location.rstrip("/").rpartition("/")

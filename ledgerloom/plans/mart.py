@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from ledgerloom import paths
-from ledgerloom.layers import Layer, Staging, load_table, store_table, table_path
+from ledgerloom.layers import SWEEP_HOURS, Layer, Staging, load_table, store_table, table_path
 from ledgerloom.operators import rollups
 from ledgerloom.operators.conform import OnBadValue, conform, watch_bad_values
 from ledgerloom.operators.fact import dimension_slices, order_fact
@@ -47,12 +47,14 @@ class Mart:
         on_bad_value: OnBadValue = "fail",
         staging: Staging = "swap",
         multi_line: bool = True,
+        sweep_hours: float = SWEEP_HOURS,
     ) -> None:
         lenient = policy == "lenient"
         self.spark = spark
         self.data_dir = data_dir
         self.on_bad_value = on_bad_value
         self.staging = staging
+        self.sweep_hours = sweep_hours
         self.multi_line = multi_line
         self.bad_values: dict[str, dict[str, int]] = {}
         self.bad_records: dict[str, int] = {}
@@ -222,7 +224,7 @@ class Mart:
                 return False
             raise
         path = table_path(self.data_dir, layer, name)
-        return store_table(df, path, self.staging, self.on_error)
+        return store_table(df, path, self.staging, self.on_error, sweep_hours=self.sweep_hours)
 
 
 class MartTables(NamedTuple):

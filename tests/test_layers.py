@@ -5,7 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom import load_table, store_table, table_path
+from ledgerloom import load_table, paths, store_table, table_path
+from ledgerloom.layers import Version, current_version, publish, sweep
 from ledgerloom.tables import INT, STRING, T
 from tests.conftest import bag
 
@@ -64,29 +65,177 @@ def test_failed_store_keeps_the_old_table(spark, path, old, broken):
     assert leftovers(path) == []
 
 
-def test_failed_rename_brings_the_old_table_back(spark, path, old, monkeypatch):
-    from ledgerloom import paths
+@pytest.mark.parametrize("staging", ["swap", "direct"])
+def test_failed_store_keeps_the_old_table_however_it_is_staged(spark, path, old, broken, staging):
+    store_table(old, path, staging)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        store_table(broken, path, staging)
+    assert bag(load_table(spark, path, SCHEMA)) == [(1, "a"), (2, "b")]
+    assert len(os.listdir(f"{path}/_versions")) == 1
 
+
+def test_failed_first_store_leaves_nothing(path, broken):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        store_table(broken, path)
+    assert not os.path.exists(path)
+
+
+def test_failed_pointer_keeps_the_old_table(spark, path, old, monkeypatch):
     store_table(old, path)
-    rename = paths.rename
 
-    def fail_on_new(spark, source, target):
-        if "_new-" in source:
-            raise OSError("no rename")
-        rename(spark, source, target)
+    def fail(*_):
+        raise OSError("no rename")
 
-    monkeypatch.setattr(paths, "rename", fail_on_new)
+    monkeypatch.setattr(paths, "_rename_over", fail)
     with pytest.raises(OSError):
         store_table(old.where("k = 1"), path)
     assert bag(load_table(spark, path, SCHEMA)) == [(1, "a"), (2, "b")]
-    assert leftovers(path) == []
+    assert not [name for name in os.listdir(path) if name.startswith("_put")]
+
+
+class Killed(BaseException):
+    """The driver is lost: no handler and no cleaning up runs."""
+
+
+STEPS = ["children", "exists", "read_text", "put_text", "_rename_over", "newest_change", "delete"]
+
+
+@pytest.mark.parametrize(("staging", "moment"), [("swap", "before"), ("swap", "after"), ("direct", "after")])
+def test_readers_see_the_old_or_the_new_table_wherever_the_driver_is_lost(
+    spark, path, old, monkeypatch, staging, moment
+):
+    """The store ends before or after each of its steps on the file system in turn."""
+    old, new = old.coalesce(1), old.where("k = 2").coalesce(1)
+    seen = []
+    for last_step in range(100):
+        table = f"{path}-{last_step}"
+        store_table(old, table, staging)
+        steps = iter(range(100))
+        with monkeypatch.context() as patch:
+            for name in STEPS:
+
+                def step(*args, _do=getattr(paths, name), **kwargs):
+                    number = next(steps)
+                    if number == last_step and moment == "before":
+                        raise Killed
+                    result = _do(*args, **kwargs)
+                    if number == last_step:
+                        raise Killed
+                    return result
+
+                patch.setattr(paths, name, step)
+            try:
+                store_table(new, table, staging, sweep_hours=0)
+                done = True
+            except Killed:
+                done = False
+        seen.append(bag(load_table(spark, table, SCHEMA, on_missing="empty")))
+        if done:
+            break
+    assert done and len(seen) > 8
+    first = seen.index([(2, "b")])
+    assert seen[:first] == [[(1, "a"), (2, "b")]] * first
+    assert seen[first:] == [[(2, "b")]] * (len(seen) - first)
+    assert os.listdir(f"{table}/_versions") == [current_version(spark, table).name]
+
+
+def test_a_job_that_is_lost_leaves_the_old_table(spark, path, old, monkeypatch):
+    store_table(old, path)
+
+    def lose(writer, target):
+        writer.mode("overwrite").format("parquet").save(target)
+        os.remove(f"{target}/_SUCCESS")
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", lose)
+        with pytest.raises(Killed):
+            store_table(old.where("k = 1"), path)
+    assert bag(load_table(spark, path, SCHEMA)) == bag(old)
+    assert len(os.listdir(f"{path}/_versions")) == 2
+    store_table(old.where("k = 2"), path, sweep_hours=0)
+    assert len(os.listdir(f"{path}/_versions")) == 1
 
 
-def test_failed_direct_store_counts_as_missing(spark, path, old, broken):
+@pytest.mark.parametrize("text", ["", "{", '{"name"', "[]", '{"other": 1}'])
+def test_a_pointer_cut_short_leads_to_the_newest_finished_version(spark, path, old, text):
     store_table(old, path)
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        store_table(broken, path, staging="direct")
-    assert load_table(spark, path, SCHEMA, on_missing="empty").count() == 0
+    store_table(old.where("k = 2"), path)
+    os.makedirs(f"{path}/_versions/00000009-unfinished")
+    with open(f"{path}/_current", "w") as pointer:
+        pointer.write(text)
+    assert bag(load_table(spark, path, SCHEMA)) == [(2, "b")]
+
+
+def test_a_pointer_without_its_version_is_an_error(spark, path, old):
+    store_table(old, path)
+    os.rename(f"{path}/_versions", f"{path}/_elsewhere")
+    for policy in ("raise", "empty"):
+        with pytest.raises(FileNotFoundError, match="isn't there"):
+            load_table(spark, path, SCHEMA, on_missing=policy)
+
+
+def test_only_finished_versions_are_published(spark, path, old):
+    store_table(old, path)
+    with pytest.raises(FileNotFoundError, match="finished"):
+        publish(spark, path, Version("00000007-none"))
+    assert bag(load_table(spark, path, SCHEMA)) == bag(old)
+
+
+def test_a_frame_goes_on_reading_the_version_it_began_with(spark, path, old):
+    store_table(old, path)
+    before = load_table(spark, path, SCHEMA)
+    store_table(old.where("k = 1"), path)
+    assert bag(before) == bag(old)
+    assert bag(load_table(spark, path, SCHEMA)) == [(1, "a")]
+
+
+def test_sweeping_goes_by_age(spark, path, old):
+    for _ in range(3):
+        store_table(old, path)
+    assert sweep(spark, path) == []
+    assert len(os.listdir(f"{path}/_versions")) == 3
+    long_ago = 1_500_000_000
+    first = sorted(os.listdir(f"{path}/_versions"))[0]
+    for folder, _, files in os.walk(f"{path}/_versions/{first}"):
+        for name in [*files, "."]:
+            os.utime(f"{folder}/{name}", (long_ago, long_ago))
+    assert [gone.split("/")[-1] for gone in sweep(spark, path)] == [first]
+    assert len(sweep(spark, path, older_than_hours=0)) == 1
+    assert os.listdir(f"{path}/_versions") == [current_version(spark, path).name]
+    assert bag(load_table(spark, path, SCHEMA)) == bag(old)
+
+
+def test_a_plain_parquet_folder_is_read_and_then_replaced(spark, path, old):
+    old.write.parquet(path)
+    assert bag(load_table(spark, path, SCHEMA)) == bag(old)
+    store_table(load_table(spark, path, SCHEMA).where("k = 1"), path, sweep_hours=0)
+    assert bag(load_table(spark, path, SCHEMA)) == [(1, "a")]
+    assert not [name for name in os.listdir(path) if name.startswith("part-")]
+
+
+def test_overwriting_a_pointer_through_the_file_context(spark, tmp_path, monkeypatch):
+    """As on HDFS, whose plain rename doesn't overwrite."""
+    monkeypatch.setattr(paths, "_without_checksums", NotLocal)
+    for text in ("one", "two"):
+        paths.put_text(spark, str(tmp_path / "pointer"), text)
+        assert (tmp_path / "pointer").read_text() == text
+
+
+class NotLocal:
+    """A file system that says it isn't the local one."""
+
+    def __init__(self, fs):
+        self._fs = fs
+
+    def __getattr__(self, name):
+        return getattr(self._fs, name)
+
+    def getUri(self):  # noqa: N802
+        return self
+
+    def getScheme(self):  # noqa: N802
+        return "hdfs"
 
 
 def test_failure_as_a_flag(path, broken):
