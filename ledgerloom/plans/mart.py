@@ -35,8 +35,9 @@ class Mart:
     the strict policy raises there unless malformed values may become null, and
     ``bad_records`` holds the number of such records once the frame read is written raw.
 
-    With ``multi_line`` off, CSV and JSON files have one record per line and large ones
-    are split over many tasks. A JSON document that isn't is held by one task as a whole.
+    CSV and JSON files may hold records over several lines; large files are read in ranges
+    by many tasks. With ``multi_line`` off, they have one record per line. With ``split`` off,
+    Spark's own readers take the others, one task for each file.
     """
 
     def __init__(
@@ -48,6 +49,7 @@ class Mart:
         staging: Staging = "swap",
         multi_line: bool = True,
         sweep_hours: float = SWEEP_HOURS,
+        split: bool = True,
     ) -> None:
         lenient = policy == "lenient"
         self.spark = spark
@@ -56,6 +58,7 @@ class Mart:
         self.staging = staging
         self.sweep_hours = sweep_hours
         self.multi_line = multi_line
+        self.split = split
         self.bad_values: dict[str, dict[str, int]] = {}
         self.bad_records: dict[str, int] = {}
         self.on_malformed = "null" if lenient or on_bad_value == "null" else "raise"
@@ -73,6 +76,7 @@ class Mart:
             PRODUCTS,
             multi_line=self.multi_line,
             on_missing=self.on_missing,
+            split=self.split,
         )
 
     def read_customers_excel(self, file: str = "Customer.xlsx") -> DataFrame:
@@ -88,6 +92,7 @@ class Mart:
             on_missing=self.on_missing,
             on_malformed=self.on_malformed,
             watch=malformed,
+            split=self.split,
         )
         self._orders_read = df, malformed
         return df

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources.ranges import CsvRecords, JsonObjects, read_records
 from ledgerloom.tables import Table
 
 OnMissing = Literal["raise", "empty"]
@@ -40,14 +41,20 @@ def read_csv(
     multi_line: bool = True,
     check_header: bool = True,
     on_missing: OnMissing = "raise",
+    split: bool = False,
 ) -> DataFrame:
     """CSV with a header line, ``"`` as quote and ``""`` for a quote inside quotes.
 
     Columns are taken by position. With ``check_header`` a file whose header names
     differ from the table fails instead of filling the wrong columns. Quoted line
-    breaks need ``multi_line``, which makes one task of each file; without them turn it
-    off and large files are split.
+    breaks need ``multi_line``. Spark's own reader then makes one task of each file; with
+    ``split`` large files are read in ranges by many tasks, to the same rows. Without quoted
+    line breaks turn ``multi_line`` off, and large files are split in either case.
     """
+    if multi_line and split:
+        return or_empty(
+            spark, table.source_schema, on_missing, lambda: _split_csv(spark, path, table, check_header)
+        )
     reader = spark.read.schema(table.source_schema).options(
         header=True, multiLine=multi_line, quote='"', escape='"', enforceSchema=not check_header
     )
@@ -62,17 +69,20 @@ def read_json(
     on_missing: OnMissing = "raise",
     on_malformed: OnMalformed = "null",
     watch: Observation | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """JSON objects, matched to the table's columns by name.
 
-    With ``multi_line`` each file is one document, an array of objects, which one task
-    reads and holds in memory as a whole. Large sources should have one object per line:
-    with ``multi_line`` off, large files are split.
+    With ``multi_line`` each file is one document, an array of objects. Spark's own reader
+    makes one task of it, which holds it in memory as a whole. With ``split`` it is read in
+    ranges by many tasks. With ``multi_line`` off, files have one object per line.
 
     A value of the wrong type is null and the rest of its object is kept; a document that
     is cut or isn't JSON is one row of nulls. With ``on_malformed="raise"`` either fails
     the job that reads it. ``watch`` is told the number of such records as ``records``; of an
-    array that holds a malformed object Spark counts every object.
+    array that holds a malformed object Spark's own reader counts every object. With
+    ``split`` a malformed object is one record, as is what follows the last whole
+    object of a document that is cut, and the other objects are kept.
     """
     schema = T.StructType([*table.source_schema, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.schema(schema).options(
@@ -81,7 +91,7 @@ def read_json(
     names = [f"`{name}`" for name in table.source_schema.names]
 
     def read() -> DataFrame:
-        df = reader.json(path)
+        df = _split_json(spark, path, schema) if multi_line and split else reader.json(path)
         if watch is not None:
             # Spark's JSON source can't read the corrupt records' column by itself.
             df = df.observe(watch, F.count(CORRUPT).alias("records"), F.count(names[0]).alias("first"))
@@ -94,3 +104,45 @@ def read_json(
         return df.select(names)
 
     return or_empty(spark, table.source_schema, on_missing, read)
+
+
+#: What may stand before an object: the opening bracket, a comma, or nothing outside an array.
+_BEFORE_FIRST, _BEFORE_NEXT, _BEFORE_PLAIN = r"^\x{FEFF}?\s*\[\s*(?=\{)", r"^\s*,\s*(?=\{)", r"^\x{FEFF}?\s*(?=\{)"
+#: What may follow the last object of an array, be an array without any, or follow a plain object.
+_AFTER_LAST, _EMPTY, _BLANK = r"^\s*\]", r"^\x{FEFF}?\s*\[\s*\]", r"^\x{FEFF}?\s*$"
+
+
+def _split_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The objects of arrays, parsed one by one; ``schema`` has the column of corrupt records."""
+    records = read_records(spark, path, JsonObjects())
+    in_array, first, last = F.col("outer") == 1, F.col("first"), F.col("last")
+    before = F.when(~in_array, _BEFORE_PLAIN).when(first, _BEFORE_FIRST).otherwise(_BEFORE_NEXT)
+    after = F.when(~in_array, _BLANK).when(first, _EMPTY).otherwise(_AFTER_LAST)
+    good = F.regexp(F.col("text"), before) & ~last
+    text = F.when(good, F.regexp_replace("text", before, ""))
+    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    rows = records.where(~(last & F.regexp(F.col("text"), after))).select(
+        parsed.alias("row"), F.when(~good, F.col("text")).alias("bad")
+    )
+    plain = [F.col("row")[name].alias(name) for name in schema.names if name != CORRUPT]
+    return rows.select(*plain, F.coalesce("bad", F.col("row")[CORRUPT]).alias(CORRUPT))
+
+
+def _split_csv(spark: SparkSession, path: str, table: Table, check_header: bool) -> DataFrame:
+    """Records parsed one by one; the first of each file is its header."""
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    records = read_records(spark, path, CsvRecords()).select(
+        F.regexp_replace("text", r"\r$|^\x{FEFF}", "").alias("text"), "first"
+    )
+    if check_header:
+        names = table.source_schema.names
+        texts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+        header = F.from_csv("text", texts.simpleString()[len("struct<") : -1].replace(":", " "), options)
+        expected = F.struct(*[F.lit(n).alias(f"c{i}") for i, n in enumerate(names)], F.lit(None).cast("string").alias(f"c{len(names)}"))
+        fail = F.raise_error(F.concat(F.lit("CSV header doesn't name the table's columns: "), "text"))
+        body = F.when(~F.col("first"), True).when(header.eqNullSafe(expected), False).otherwise(fail.cast("boolean"))
+    else:
+        body = ~F.col("first")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.source_schema)
+    rows = records.where(body & (F.col("text") != "")).select(F.from_csv("text", ddl, options).alias("row"))
+    return rows.select("row.*")

@@ -1,0 +1,330 @@
+"""Files read in ranges: every border between two tasks, against Spark's own reader and plain parsers."""
+
+from __future__ import annotations
+
+import csv
+import gzip
+import io
+import json
+import random
+from types import SimpleNamespace
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Observation
+
+from ledgerloom import ORDERS, PRODUCTS, read_csv, read_json
+from ledgerloom.sources import ranges
+from ledgerloom.sources.ranges import CsvRecords, JsonObjects, State, next_state
+from tests.conftest import bag
+
+HEADER = "Product ID,Category,Sub-Category,Product Name,State,Price Per Product\n"
+
+
+@pytest.fixture
+def divide(spark):
+    """Sets how many bytes a task reads at most."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {name: spark.conf.get(name) for name in names}
+
+    def to(size):
+        for name, value in zip(names, (size, 1)):
+            spark.conf.set(name, str(value))
+
+    yield to
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def order(i, **changes):
+    return {"Row ID": i, "Order ID": f"O{i}", "Quantity": i, "Price": i / 2, **changes}
+
+
+HARD = ['}', '{', '[]', '","', '\\', '\\\\"', 'é}ü', '{"a": "}"}', "line\nbreak", "x" * 40, ""]
+
+
+def array(style):
+    records = [order(i, **{"Ship Mode": HARD[i % len(HARD)], "Extra": {"deep": [{"x": "]}"}, i]}}) for i in range(23)]
+    text = json.dumps(records, indent=style)
+    return text if style else text.replace("}, {", "},{")
+
+
+@pytest.mark.parametrize("size", [61, 256, 100_000])
+@pytest.mark.parametrize("style", [None, 2])
+def test_json_array_in_ranges_equals_sparks_reader(spark, tmp_path, divide, size, style):
+    path = tmp_path / "o.json"
+    path.write_text(array(style))
+    expected = bag(read_json(spark, str(path), ORDERS))
+    divide(size)
+    found = read_json(spark, str(path), ORDERS, split=True)
+    if size < 1000:
+        assert found.rdd.getNumPartitions() > 1
+    assert bag(found) == expected
+    assert len(expected) == 23
+
+
+@pytest.mark.parametrize("size", [5, 100, 100_000])
+@pytest.mark.parametrize(
+    "text", ["[]", " [ \n ] ", "", "  \n", '{"Row ID": 1}', '[{"Row ID": 1}]', '﻿[{"Row ID": 1},\r\n{"Row ID": 2}]\n']
+)
+def test_small_documents(spark, tmp_path, divide, size, text):
+    path = tmp_path / "o.json"
+    path.write_text(text)
+    expected = bag(read_json(spark, str(path), ORDERS))
+    divide(size)
+    assert bag(read_json(spark, str(path), ORDERS, split=True)) == expected
+
+
+def read_watched(spark, path):
+    malformed = Observation()
+    found = bag(read_json(spark, str(path), ORDERS, split=True, watch=malformed))
+    return [row[0] for row in found], malformed.get["records"]
+
+
+@pytest.mark.parametrize("size", [19, 100_000])
+@pytest.mark.parametrize(
+    ("bad", "kept"),
+    [
+        ('{"Row ID": 5, "Quantity": "five"}', 5),  # of the wrong type: the rest of it is kept
+        ('{"Row ID": 5, "Quantity": }', None),
+        ('{"Row ID": 5 "Quantity": 5}', None),
+        ('{"Row ID": {5}}', None),
+        ('7, {"Row ID": 5}', None),
+        (', {"Row ID": 5}', None),
+        ('{"Row ID": 5}}', None),  # a brace too many
+    ],
+)
+def test_a_malformed_object_is_one_record_and_its_neighbours_are_kept(spark, tmp_path, divide, size, bad, kept):
+    path = tmp_path / "o.json"
+    good = [json.dumps(order(i, Extra={"deep": [i]})) for i in range(4)]
+    path.write_text(f"[{', '.join([*good[:2], bad, *good[2:]])}]")
+    divide(size)
+    found, malformed = read_watched(spark, path)
+    if bad.endswith("}}") and kept is None and bad.count("{") == 1:
+        assert sorted(i for i in found if i is not None) == [0, 1, 2, 3, 5] and malformed == 1
+    else:
+        assert sorted(found, key=str) == sorted([0, 1, 2, 3, kept], key=str)
+        assert malformed == 1
+
+
+@pytest.mark.parametrize("size", [19, 100_000])
+@pytest.mark.parametrize("cut", [1, 2, 10, 30])
+def test_a_cut_document_keeps_its_whole_objects(spark, tmp_path, divide, size, cut):
+    path = tmp_path / "o.json"
+    path.write_text(json.dumps([order(i) for i in range(4)])[:-cut])
+    divide(size)
+    found, malformed = read_watched(spark, path)
+    assert malformed == 1
+    assert sorted(i for i in found if i is not None) == ([0, 1, 2, 3] if cut == 1 else [0, 1, 2])
+    with pytest.raises(Exception, match="malformed record"):
+        read_json(spark, str(path), ORDERS, split=True, on_malformed="raise").collect()
+
+
+def test_folders_and_compressed_files(spark, tmp_path, divide):
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"{i}.json").write_text(json.dumps([order(10 * i + j, **{"Ship Mode": "}"}) for j in range(5)]))
+    (folder / "z.json.gz").write_bytes(gzip.compress(json.dumps([order(40 + j) for j in range(5)]).encode()))
+    (folder / "empty.json").write_text("")
+    divide(50)
+    found = sorted(row[0] for row in read_json(spark, str(folder), ORDERS, split=True).collect())
+    assert found == [0, 1, 2, 3, 4, 10, 11, 12, 13, 14, 20, 21, 22, 23, 24, 40, 41, 42, 43, 44]
+
+
+def products(seed):
+    rnd = random.Random(seed)
+    texts = ["plain", '3.5" disk', 'a "b" c', "two\nlines", 'he said ""', ",", "", "x\r\ny", 'é"\n\n"ü', '"', "\n"]
+    return [(f"P{i}", *[rnd.choice(texts) for _ in range(4)], str(i)) for i in range(25)]
+
+
+def as_csv(rows, end="\n"):
+    out = io.StringIO()
+    csv.writer(out, lineterminator=end).writerows(rows)
+    return HEADER.replace("\n", end) + out.getvalue()
+
+
+@pytest.mark.parametrize("size", [61, 256, 100_000])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_in_ranges_equals_a_plain_parser(spark, tmp_path, divide, size, end):
+    path = tmp_path / "p.csv"
+    path.write_bytes(as_csv(products(1), end).encode())
+    divide(size)
+    found = read_csv(spark, str(path), PRODUCTS, split=True)
+    if size < 1000:
+        assert found.rdd.getNumPartitions() > 1
+    assert bag(found) == sorted((tuple(v or None for v in row) for row in products(1)), key=repr)
+
+
+@pytest.mark.parametrize("size", [11, 100_000])
+def test_csv_as_sparks_reader_takes_it(spark, tmp_path, divide, size):
+    """Stray quotes, short and long records, empty lines, no line break at the end."""
+    path = tmp_path / "p.csv"
+    path.write_text(HEADER + 'P1,3.5" disk,"q"\n\nP2,"a"b,c" ,"""x""\n,"\nP3,1,2,3,4,5,6,7\n"P4\n')
+    expected = bag(read_csv(spark, str(path), PRODUCTS))
+    divide(size)
+    assert [r[:5] for r in bag(read_csv(spark, str(path), PRODUCTS, split=True))][:3] == [r[:5] for r in expected][:3]
+
+
+@pytest.mark.parametrize("size", [16, 100_000])
+def test_csv_header_is_checked_in_every_file(spark, tmp_path, divide, size):
+    folder = tmp_path / "products"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + 'P1,A,"B\n",C,D,1\n')
+    (folder / "b.csv").write_text(HEADER + "P2,A,B,C,D,2")
+    (folder / "c.csv").write_text("")
+    (folder / "d.csv").write_text(HEADER)
+    divide(size)
+    assert [r[0] for r in bag(read_csv(spark, str(folder), PRODUCTS, split=True))] == ["P1", "P2"]
+    (folder / "e.csv").write_text(HEADER.replace("Category,Sub", "Category,Category,Sub"))
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(folder), PRODUCTS, split=True).collect()
+    assert read_csv(spark, str(folder), PRODUCTS, split=True, check_header=False).count() == 2
+
+
+@pytest.mark.parametrize(("read", "table"), [(read_csv, PRODUCTS), (read_json, ORDERS)])
+def test_missing_file(spark, tmp_path, read, table):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read(spark, str(tmp_path / "absent"), table, split=True)
+    assert read(spark, str(tmp_path / "absent"), table, split=True, on_missing="empty").count() == 0
+
+
+def test_a_file_divided_anew_is_an_error_and_not_other_rows(spark, tmp_path, divide):
+    path = tmp_path / "o.json"
+    path.write_text(array(None))
+    divide(200)
+    found = read_json(spark, str(path), ORDERS, split=True)
+    divide(130)
+    with pytest.raises(Exception, match="divided in another way"):
+        found.collect()
+
+
+def batches_of(text, size, scanner, n=3):
+    """What Spark's text source hands to the tasks of one file: (task, batches of pieces)."""
+    data = text.encode()
+    pieces = data.split(scanner.delimiter.encode())
+    if not pieces[-1]:
+        pieces.pop()
+    tasks, at = {}, 0
+    for piece in pieces:
+        # A piece belongs to the range in which it begins; one at a border to the range before.
+        tasks.setdefault(max(0, -(-at // size) - 1) * size, []).append(piece.decode())
+        at += len(piece) + 1
+    for start, texts in tasks.items():
+        yield [
+            pa.RecordBatch.from_pydict(
+                {"value": part, "file": [1] * len(part), "start": [start] * len(part), "size": [len(data)] * len(part)}
+            )
+            for part in (texts[i : i + n] for i in range(0, len(texts), n))
+        ]
+
+
+def cut_in_ranges(text, size, scanner):
+    """Records by all tasks of a file, put together like ``read_records`` does."""
+    tasks = list(batches_of(text, size, scanner))
+    sums = [SimpleNamespace(**row) for task in tasks for b in ranges._sum_up(task, scanner) for row in b.to_pylist()]
+    known = ranges.compose(sums, scanner)
+    rows = [row for task in tasks for b in ranges._cut(task, scanner, known) for row in b.to_pylist()]
+    found = []
+    for row in sorted((r for r in rows if r["closes"] is not None), key=lambda r: (r["start"], r["place"])):
+        if row["place"]:
+            found.append("")
+        found[-1] += row["text"]
+    trailer = [found.pop()] if scanner.trailer and found else []
+    return sorted([r["text"] for r in rows if r["closes"] is None] + found), trailer
+
+
+@pytest.mark.parametrize("end", ["", "\n"])
+@pytest.mark.parametrize("style", [None, 2])
+def test_every_border_in_a_json_array(style, end):
+    text = array(style) + end
+    expected = [json.dumps(r, sort_keys=True) for r in json.loads(text)]
+    for size in [*range(1, 60), len(text) - 1, len(text) + 1]:
+        found, trailer = cut_in_ranges(text, size, JsonObjects())
+        objects = [json.dumps(json.loads(t.lstrip("[, \n")), sort_keys=True) for t in found]
+        assert sorted(objects) == sorted(expected)
+        assert "".join(trailer).strip() == "]"
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_every_border_in_csv(end):
+    for seed in range(2):
+        text = as_csv(products(seed), end)
+        for size in [*range(1, 40), len(text) - 1, len(text) + 1]:
+            for whole in (text, text[: -len(end)]):
+                found, _ = cut_in_ranges(whole, size, CsvRecords())
+                parsed = [next(csv.reader(io.StringIO(t.removesuffix("\r"), newline=""))) for t in found]
+                assert sorted(parsed) == sorted([HEADER.strip().split(","), *map(list, products(seed))])
+
+
+def csv_quoted(line, quoted):
+    """The state after a line, character by character."""
+    state = "in" if quoted else "field"
+    for sign in line:
+        if state in ("in", "closed"):
+            state = {"in": "closed" if sign == '"' else "in",
+                     "closed": "in" if sign == '"' else "field" if sign == "," else "plain"}[state]
+        else:
+            state = "field" if sign == "," else "in" if sign == '"' and state == "field" else "plain"
+    return state == "in"
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text('",a \r'), min_size=1, max_size=4), st.booleans())
+def test_csv_scan_equals_a_scan_by_character(lines, quoted):
+    ends = []
+    state = quoted
+    for line in lines:
+        state = csv_quoted(line, state)
+        ends.append(not state)
+    scan = ranges.scan(CsvRecords(), pa.array(lines, pa.string()), State(quoted), 0)
+    assert (list(scan.ends), scan.quoted) == (ends, state)
+
+
+def json_state(text, state, outer):
+    """The state after a text, character by character, and whether it ends a record.
+
+    A backslash escapes quotes and backslashes; what else it stands before keeps its meaning.
+    """
+    quoted, depth = state
+    escaped = ended = False
+    for sign in text:
+        ended = False
+        if escaped and sign in '"\\':
+            escaped = False
+            continue
+        escaped = False
+        if sign == "\\":
+            escaped = True
+        elif sign == '"':
+            quoted = not quoted
+        elif not quoted and sign in "[{":
+            depth += 1
+        elif not quoted and sign == "]":
+            depth -= 1
+        elif not quoted and sign == "}":
+            depth = max(depth - 1, outer)
+            ended = depth == outer
+    return State(quoted, depth), ended
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text('"\\{[]a'), min_size=1, max_size=8), st.booleans(), st.integers(0, 3), st.integers(0, 1))
+def test_json_scan_equals_a_scan_by_character_and_composes(pieces, quoted, depth, outer):
+    pieces = [piece.rstrip("\\") for piece in pieces]
+    scanner = JsonObjects()
+    start = state = State(quoted, depth)
+    ends = []
+    for piece in pieces:
+        state, ended = json_state(piece + "}", state, outer)
+        ends.append(ended)
+    scan = ranges.scan(scanner, pa.array(pieces, pa.string()), start, outer)
+    assert list(scan.ends) == ends
+    assert next_state(start, scan, outer) == state
+    half = len(pieces) // 2
+    for part in (pieces[:half], pieces[half:]):
+        if part:
+            start = next_state(start, ranges.scan(scanner, pa.array(part, pa.string()), State(start.quoted), 0), outer)
+    assert start == state

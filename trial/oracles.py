@@ -106,7 +106,9 @@ FROM ({ORDERS}) o"""
 
 ORACLES: dict[str, str] = {
     "src_products_csv": _products_source("product_name || ', 3.5\" disk' || chr(10) || '\"boxed\"'"),
+    "src_products_csv_ranges": _products_source("product_name || ', 3.5\" disk' || chr(10) || '\"boxed\"'"),
     "src_orders_json": ORDERS_SOURCE,
+    "src_orders_json_ranges": ORDERS_SOURCE,
     "src_orders_json_lines": ORDERS_SOURCE,
     "src_products_csv_lines": _products_source(),
     "src_customers_xlsx": CUSTOMERS_SOURCE,

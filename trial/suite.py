@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,39 @@ def src_products_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, PRODUCTS, multi_line=False)
 
 
+@contextmanager
+def ranges(spark: SparkSession, least: int) -> Iterator[None]:
+    """Lets Spark divide files into at least so many ranges, whatever their size."""
+    settings = {"spark.sql.files.minPartitionNum": str(least), "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def src_products_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with quoted line breaks, read by many tasks."""
+    mart = Mart(spark, work_dir(spark, "products-csv-ranges"))
+    products = product_names_with_quoting(shapes.products_source(spark, sf_dir))
+    write_csv(products.coalesce(1), f"{mart.data_dir}/files/Products.csv")
+    with ranges(spark, 16):
+        mart.write_products_raw(mart.read_products_csv())
+    return mart.read_raw(PRODUCTS)
+
+
+def src_orders_json_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file that is one JSON array, read by many tasks."""
+    mart = Mart(spark, work_dir(spark, "orders-json-ranges"))
+    write_json_arrays(shapes.orders_source(spark, sf_dir).coalesce(1), f"{mart.data_dir}/files/Orders.json")
+    with ranges(spark, 16):
+        mart.write_orders_raw(mart.read_orders_json())
+    return mart.read_raw(ORDERS)
+
+
 def src_orders_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "orders-json-lines")
     write_json_lines(shapes.orders_source(spark, sf_dir), path)
@@ -203,6 +237,8 @@ QUERIES: dict[str, Query] = {
     "src_orders_json": src_orders_json,
     "src_orders_json_lines": src_orders_json_lines,
     "src_products_csv_lines": src_products_csv_lines,
+    "src_products_csv_ranges": src_products_csv_ranges,
+    "src_orders_json_ranges": src_orders_json_ranges,
     "src_customers_xlsx": src_customers_xlsx,
     "raw_products": stored_raw(PRODUCTS, shapes.products_source),
     "raw_customers": stored_raw(CUSTOMERS, shapes.customers_source),
