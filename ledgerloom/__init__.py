@@ -13,6 +13,7 @@ from ledgerloom.operators.rollups import (
     profit_by_customer_and_year,
     profit_by_year,
     profit_by_year_and_category,
+    profit_cells,
     profit_info,
     profit_info_with_product,
     rollup,
@@ -21,7 +22,14 @@ from ledgerloom.operators.rollups import (
 from ledgerloom.plans.mart import Mart, build_mart
 from ledgerloom.session import build_session
 from ledgerloom.sources import empty_table, read_csv, read_json, read_workbooks
-from ledgerloom.tables import CUSTOMERS, ORDER_FACT, ORDERS, PRODUCTS, PROFIT_INFO_SCHEMA
+from ledgerloom.tables import (
+    CUSTOMERS,
+    ORDER_FACT,
+    ORDERS,
+    PRODUCTS,
+    PROFIT_CELLS_SCHEMA,
+    PROFIT_INFO_SCHEMA,
+)
 
 __all__ = [
     "BY_CUSTOMER",
@@ -33,6 +41,7 @@ __all__ = [
     "ORDERS",
     "ORDER_FACT",
     "PRODUCTS",
+    "PROFIT_CELLS_SCHEMA",
     "PROFIT_INFO",
     "PROFIT_INFO_SCHEMA",
     "bad_value_counts",
@@ -47,6 +56,7 @@ __all__ = [
     "profit_by_customer_and_year",
     "profit_by_year",
     "profit_by_year_and_category",
+    "profit_cells",
     "profit_info",
     "profit_info_with_product",
     "read_csv",

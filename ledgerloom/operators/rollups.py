@@ -2,6 +2,10 @@
 
 A rollup is a small declaration that can be run as DataFrame calls or as SQL text.
 Each needs only the fact columns it mentions.
+
+``profit_cells`` sums the fact once, at the finest keys that any rollup has, and keeps the sums
+unrounded in parts that add up exactly. Every rollup also runs over these cells, and gives the
+same cents as over the fact.
 """
 
 from __future__ import annotations
@@ -13,21 +17,23 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.exact import merged_parts, rounded_total, sum_parts
+
 OnError = Literal["raise", "none"]
 
 YEAR = ("year(cast(order_date as date))", "year")
 CATEGORY = ("category", "product_category")
 SUB_CATEGORY = ("sub_category", "product_sub_category")
 CUSTOMER = ("customer_name", "customer")
-# Doubles add up differently in another order, decimals don't. Profits that decimals of
-# twelve places can't hold (not finite, or too large, also as a total) add up as doubles.
-_EXACT = "try_cast(profit AS DECIMAL(38, 12))"
-TOTAL_PROFIT = (
-    f"coalesce(CASE WHEN count_if(profit IS NOT NULL AND {_EXACT} IS NULL) = 0"
-    f" THEN cast(round(try_sum({_EXACT}), 2) AS DOUBLE) END, round(sum(profit), 2))",
-    "total_profit",
-)
+# Doubles add up differently in another order; these parts don't.
+PROFIT_PARTS = sum_parts("profit")
+TOTAL_PROFIT = (rounded_total(PROFIT_PARTS), "total_profit")
 ORDER_COUNT = ("count(order_id)", "order_count")
+# The same measures over cells, by name.
+OVER_CELLS = {
+    "total_profit": rounded_total(merged_parts("profit")),
+    "order_count": "sum(order_count)",
+}
 
 
 @dataclass(frozen=True)
@@ -41,6 +47,7 @@ class Rollup:
     order: tuple[str, ...]
     measures: tuple[tuple[str, str], ...] = (TOTAL_PROFIT,)
     where: str | None = None
+    cells_where: str | None = None  # the same in the names of the keys
 
 
 PROFIT_INFO = Rollup(
@@ -50,7 +57,10 @@ PROFIT_INFO = Rollup(
 )
 BY_YEAR = Rollup(keys=(YEAR,), order=("year DESC",))
 BY_YEAR_AND_CATEGORY = Rollup(
-    keys=(YEAR, CATEGORY), where="category IS NOT NULL", order=("year DESC", "product_category")
+    keys=(YEAR, CATEGORY),
+    where="category IS NOT NULL",
+    cells_where="product_category IS NOT NULL",
+    order=("year DESC", "product_category"),
 )
 BY_CUSTOMER = Rollup(keys=(CUSTOMER,), order=("total_profit DESC", "customer"))
 BY_CUSTOMER_AND_YEAR = Rollup(
@@ -58,12 +68,33 @@ BY_CUSTOMER_AND_YEAR = Rollup(
 )
 
 
+def profit_cells(fact: DataFrame) -> DataFrame:
+    """Lines and exact unrounded profit of the fact by the keys of ``profit_info``.
+
+    Null keys are groups, as in the rollups. To be stored: a frame that isn't reads the fact
+    again for each rollup.
+    """
+    parts = [F.expr(e).alias(f"profit_{name}") for name, e in PROFIT_PARTS.items()]
+    keys = [F.expr(e).alias(name) for e, name in PROFIT_INFO.keys]
+    return fact.groupBy(keys).agg(F.expr(ORDER_COUNT[0]).alias(ORDER_COUNT[1]), *parts)
+
+
+def are_cells(df: DataFrame) -> bool:
+    return "profit_low" in df.columns
+
+
 def rollup(fact: DataFrame, spec: Rollup, on_error: OnError = "raise") -> DataFrame | None:
-    """Run a rollup. ``on_error="none"`` gives None when the fact lacks a column."""
+    """Run a rollup over the fact, or over cells of it.
+
+    ``on_error="none"`` gives None when a column is missing.
+    """
     try:
-        rows = fact.where(spec.where) if spec.where else fact
-        grouped = rows.groupBy([F.expr(e).alias(name) for e, name in spec.keys])
-        totals = grouped.agg(*[F.expr(e).alias(name) for e, name in spec.measures])
+        cells = are_cells(fact)
+        where = spec.cells_where if cells else spec.where
+        rows = fact.where(where) if where else fact
+        grouped = rows.groupBy([F.expr(name if cells else e).alias(name) for e, name in spec.keys])
+        measures = [(OVER_CELLS[name] if cells else e, name) for e, name in spec.measures]
+        totals = grouped.agg(*[F.expr(e).alias(name) for e, name in measures])
         ordered = totals.orderBy([_sort_key(term) for term in spec.order])
         _ = ordered.schema
         return ordered
@@ -78,17 +109,20 @@ def _sort_key(term: str):
     return F.desc(name) if direction == "DESC" else F.asc(name)
 
 
-def sql_text(spec: Rollup) -> str:
-    """The rollup as a query over ``{fact}``."""
-    columns = ", ".join(f"{e} AS {name}" for e, name in spec.keys + spec.measures)
-    where = f" WHERE {spec.where}" if spec.where else ""
+def sql_text(spec: Rollup, cells: bool = False) -> str:
+    """The rollup as a query over ``{fact}``, a fact or cells of one."""
+    keys = [(name, name) for _, name in spec.keys] if cells else spec.keys
+    measures = [(OVER_CELLS[name] if cells else e, name) for e, name in spec.measures]
+    columns = ", ".join(f"{e} AS {name}" for e, name in [*keys, *measures])
+    condition = spec.cells_where if cells else spec.where
+    where = f" WHERE {condition}" if condition else ""
     return f"SELECT {columns} FROM {{fact}}{where} GROUP BY ALL ORDER BY {', '.join(spec.order)}"
 
 
 def rollup_sql(fact: DataFrame, spec: Rollup, on_error: OnError = "raise") -> DataFrame | None:
     """The same rollup through Spark SQL; the fact is bound to the query, not to a shared name."""
     try:
-        return fact.sparkSession.sql(sql_text(spec), fact=fact)
+        return fact.sparkSession.sql(sql_text(spec, are_cells(fact)), fact=fact)
     except AnalysisException:
         if on_error == "none":
             return None

@@ -17,7 +17,15 @@ from ledgerloom.operators import rollups
 from ledgerloom.operators.conform import OnBadValue, conform, watch_bad_values
 from ledgerloom.operators.fact import dimension_slices, order_fact
 from ledgerloom.sources import read_csv, read_json, read_workbooks
-from ledgerloom.tables import CUSTOMERS, ORDER_FACT, ORDERS, PRODUCTS, PROFIT_INFO_SCHEMA, Table
+from ledgerloom.tables import (
+    CUSTOMERS,
+    ORDER_FACT,
+    ORDERS,
+    PRODUCTS,
+    PROFIT_CELLS_SCHEMA,
+    PROFIT_INFO_SCHEMA,
+    Table,
+)
 
 log = logging.getLogger(__name__)
 
@@ -172,7 +180,17 @@ class Mart:
     def read_order_fact(self) -> DataFrame:
         return self._load("enriched", "order_fact", ORDER_FACT)
 
+    def create_profit_cells(self, order_fact_df: DataFrame) -> bool:
+        """Store the sums that all rollups can be made from, by one pass over the fact."""
+        return self._store_built(
+            "aggregated", "profit_cells", lambda: rollups.profit_cells(order_fact_df)
+        )
+
+    def read_profit_cells(self) -> DataFrame:
+        return self._load("aggregated", "profit_cells", PROFIT_CELLS_SCHEMA)
+
     def create_profit_info(self, order_fact_df: DataFrame) -> bool:
+        """Store the profit info of a fact, or of its cells."""
         return self._store_built(
             "aggregated", "profit_info", lambda: rollups.profit_info(order_fact_df)
         )
@@ -253,8 +271,8 @@ def build_mart(
     Source files are parsed once: the enriched tables are built from the stored raw
     tables, which are columnar and split where the files may not be. The three sources
     do not depend on each other and share the cluster. Every error is raised, so nothing
-    is built from a table that failed. The rollups are returned lazily and read only the
-    fact columns they use.
+    is built from a table that failed. The fact is summed once, into cells; profit_info and
+    the rollups, which are returned lazily, are made from these.
     """
     mart = Mart(
         spark, data_dir, on_bad_value=on_bad_value, staging=staging, multi_line=multi_line
@@ -283,12 +301,14 @@ def build_mart(
         products_df=mart.read_products_enriched(),
     )
     fact = mart.read_order_fact()
-    mart.create_profit_info(fact)
+    mart.create_profit_cells(fact)
+    cells = mart.read_profit_cells()
+    mart.create_profit_info(cells)
     return MartTables(
         order_fact=fact,
         profit_info=mart.read_profit_info(),
-        profit_by_year=mart.profit_by_year(fact),
-        profit_by_year_and_category=mart.profit_by_year_and_category(fact),
-        profit_by_customer=mart.profit_by_customer(fact),
-        profit_by_customer_and_year=mart.profit_by_customer_and_year(fact),
+        profit_by_year=mart.profit_by_year(cells),
+        profit_by_year_and_category=mart.profit_by_year_and_category(cells),
+        profit_by_customer=mart.profit_by_customer(cells),
+        profit_by_customer_and_year=mart.profit_by_customer_and_year(cells),
     )

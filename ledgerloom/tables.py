@@ -119,3 +119,18 @@ PROFIT_INFO_SCHEMA = T.StructType(
         T.StructField("order_count", LONG),
     ]
 )
+
+PROFIT_CELLS_SCHEMA = T.StructType(
+    [
+        *PROFIT_INFO_SCHEMA[:4],
+        T.StructField("order_count", LONG),
+        T.StructField("profit_low", LONG),
+        T.StructField("profit_middle", LONG),
+        T.StructField("profit_high", LONG),
+        T.StructField("profit_millionths", LONG),
+        T.StructField("profit_hard", LONG),
+        T.StructField("profit_decimals", T.DecimalType(38, 12)),
+        T.StructField("profit_lost", LONG),
+        T.StructField("profit_doubles", DOUBLE),
+    ]
+)

@@ -62,7 +62,7 @@ def test_files_to_rollups(spark, data_dir):
     for layer, names in {
         "raw": "customers orders products",
         "enriched": "customers order_fact orders products",
-        "aggregated": "profit_info",
+        "aggregated": "profit_cells profit_info",
     }.items():
         assert sorted(os.listdir(f"{data_dir}/{layer}")) == [f"{n}.parquet" for n in names.split()]
 

@@ -157,6 +157,11 @@ FROM ({ORDERS}) o""",
     "profit_by_year_sql": BY_YEAR,
     "profit_by_year_category_sql": BY_YEAR_AND_CATEGORY,
     "profit_by_customer_sql": BY_CUSTOMER,
+    "profit_info_cells": _profit_info(GAPS),
+    "profit_by_year_cells": BY_YEAR,
+    "profit_by_year_category_cells": BY_YEAR_AND_CATEGORY,
+    "profit_by_customer_cells": BY_CUSTOMER,
+    "profit_by_customer_year_cells": BY_CUSTOMER_AND_YEAR,
     "preview_order_fact": f"""{_fact()}
 ORDER BY order_id NULLS FIRST, order_date NULLS FIRST, ship_date NULLS FIRST,
          ship_mode NULLS FIRST, quantity NULLS FIRST, price NULLS FIRST, discount NULLS FIRST,

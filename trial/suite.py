@@ -223,6 +223,17 @@ def over_gaps(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(fact_with_gaps(spark, sf_dir))
 
 
+def over_cells(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """The rollup over the stored cells of the fact with gaps, which is read once for them."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        mart = Mart(spark, work_dir(spark, "cells"))
+        mart.create_profit_cells(fact_with_gaps(spark, sf_dir))
+        return build(mart.read_profit_cells())
+
+    return query
+
+
 def first_five(build: Callable[[DataFrame], DataFrame]) -> Query:
     return over_gaps(lambda fact: build(fact).limit(5))
 
@@ -264,6 +275,11 @@ QUERIES: dict[str, Query] = {
     "profit_by_year_category_sql": over_gaps(lambda f: rollup_sql(f, BY_YEAR_AND_CATEGORY)),
     "profit_by_customer_sql": over_gaps(lambda f: rollup_sql(f, BY_CUSTOMER)),
     "profit_by_customer_year_sql": over_gaps(lambda f: rollup_sql(f, BY_CUSTOMER_AND_YEAR)),
+    "profit_info_cells": over_cells(profit_info),
+    "profit_by_year_cells": over_cells(profit_by_year),
+    "profit_by_year_category_cells": over_cells(profit_by_year_and_category),
+    "profit_by_customer_cells": over_cells(profit_by_customer),
+    "profit_by_customer_year_cells": over_cells(profit_by_customer_and_year),
     "preview_order_fact": preview_order_fact,
     "preview_profit_info": first_five(lambda f: profit_info_with_product(profit_info(f))),
     "preview_years": first_five(profit_by_year),
