@@ -7,8 +7,10 @@ format, so many customers means many workbooks, and those are read in parallel.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
+from datetime import date, datetime, time, timedelta
 from io import BytesIO
 from posixpath import join, normpath
 from xml.etree import ElementTree
@@ -31,6 +33,31 @@ MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 VALUE, INLINE, TEXT, RUN = (MAIN + tag for tag in ("v", "is", "t", "r"))
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
+# Built-in number formats that are dates or passed times, and the two calendars.
+DATE, ELAPSED = "date", "elapsed"
+BUILT_IN = {
+    "14": DATE,  # mm-dd-yy
+    "15": DATE,  # d-mmm-yy
+    "16": DATE,  # d-mmm
+    "17": DATE,  # mmm-yy
+    "18": DATE,  # h:mm AM/PM
+    "19": DATE,  # h:mm:ss AM/PM
+    "20": DATE,  # h:mm
+    "21": DATE,  # h:mm:ss
+    "22": DATE,  # m/d/yy h:mm
+    "45": DATE,  # mm:ss
+    "46": ELAPSED,  # [h]:mm:ss
+    "47": DATE,  # mmss.0
+}
+EPOCH_1900, EPOCH_1904 = datetime(1899, 12, 30), datetime(1904, 1, 1)
+SECOND, MILLISECOND = timedelta(seconds=1), timedelta(milliseconds=1)
+
+# Of a custom format: texts, escaped and padding characters; brackets; and what is left of it.
+LITERAL = re.compile(r'"[^"]*"|\\.|_.|\*.')
+BRACKETED = re.compile(r"\[[^\]]*\]")
+ELAPSED_SIGNS = re.compile(r"\[(h+|m+|s+)\]", re.IGNORECASE)
+DATE_SIGNS = re.compile(r"[dmyhs]", re.IGNORECASE)
+
 # Cell texts that mean "no value".
 NULL_TEXTS = frozenset(
     [
@@ -65,7 +92,9 @@ def read_workbooks(
     Empty files, such as the folder marks of object stores, are passed over. The first
     row names the columns. They are matched by name, columns the table does not have are
     ignored, and a missing one fails the job. Numbers become text, whole ones without a
-    decimal point; dates stored as numbers stay serial numbers.
+    decimal point. A number whose cell has a date format becomes a date and time
+    (``2016-09-05 00:00:00``), a time of day (``14:30:00``) if it is less than a day, or a
+    time that has passed (``1 day, 2:00:00``) if the format is of that kind.
     """
     schema = table.source_schema
     names = schema.names
@@ -121,6 +150,7 @@ def filled_rows(book: ZipFile) -> Iterator[tuple[int, dict[int, str | None]]]:
 def sheet_rows(book: ZipFile) -> Iterator[tuple[int, dict[int, str | None]]]:
     """(row number, {column number: text}) for each stored row of the first sheet."""
     shared = shared_texts(book)
+    formats, epoch = date_formats(book), first_day(book)
     numbers: dict[str, int] = {}
     number = 0
     with book.open(first_sheet(book)) as stream:
@@ -133,7 +163,7 @@ def sheet_rows(book: ZipFile) -> Iterator[tuple[int, dict[int, str | None]]]:
                 if letters not in numbers:
                     numbers[letters] = column_number(letters)
                 column = numbers[letters] or column + 1
-                cells[column] = cell_text(cell, shared)
+                cells[column] = cell_text(cell, shared, formats.get(cell.get("s")), epoch)
             yield number, cells
 
 
@@ -156,7 +186,9 @@ def column_number(letters: str) -> int:
     return number
 
 
-def cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
+def cell_text(
+    cell: ElementTree.Element, shared: list[str], format: str | None = None, epoch: datetime = EPOCH_1900
+) -> str | None:
     kind = cell.get("t", "n")
     value = None
     for part in cell:
@@ -172,7 +204,68 @@ def cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
         return "True" if value == "1" else "False"
     if kind == "e":
         return None
-    return number_text(value) if kind == "n" else value
+    if kind == "d":
+        return iso_text(value)
+    if kind != "n":
+        return value
+    return date_text(float(value), format, epoch) if format else number_text(value)
+
+
+def iso_text(value: str) -> str | None:
+    """A date cell that holds its date as text."""
+    for read in (date.fromisoformat, time.fromisoformat, datetime.fromisoformat):
+        try:
+            return str(read(value.removesuffix("Z")))
+        except ValueError:
+            continue
+    return None
+
+
+def date_text(number: float, format: str, epoch: datetime) -> str | None:
+    """A serial number of days as text; None, as of an error cell, where there is no such date."""
+    try:
+        if format == ELAPSED:
+            passed = timedelta(days=number)
+            return str(timedelta(seconds=passed // SECOND, milliseconds=round(passed % SECOND / MILLISECOND)))
+        days, fraction = divmod(number, 1)
+        part = timedelta(milliseconds=round(fraction * 86_400_000))
+        if days == 0 and not part.days:
+            return str((datetime.min + part).time())
+        if 0 < number < 60 and epoch == EPOCH_1900:
+            days += 1  # that calendar has a 29 February 1900, number 60, before which it is a day behind
+        return str(epoch + timedelta(days=days) + part)
+    except OverflowError:
+        return None
+
+
+def date_formats(book: ZipFile) -> dict[str, str]:
+    """Style numbers of cells whose numbers are dates or passed times, and which of the two."""
+    if "xl/styles.xml" not in book.namelist():
+        return {}
+    styles = ElementTree.fromstring(book.read("xl/styles.xml"))
+    codes = {f.get("numFmtId"): f.get("formatCode", "") for f in styles.iterfind(f"{MAIN}numFmts/{MAIN}numFmt")}
+    kinds = {}
+    for number, style in enumerate(styles.iterfind(f"{MAIN}cellXfs/{MAIN}xf")):
+        code = style.get("numFmtId", "0")
+        kind = format_kind(codes[code]) if code in codes else BUILT_IN.get(code)
+        if kind:
+            kinds[str(number)] = kind
+    return kinds
+
+
+def format_kind(code: str) -> str | None:
+    """What a number format makes of a number, by its part for positive ones."""
+    positive = LITERAL.sub("", code).split(";")[0]
+    if ELAPSED_SIGNS.search(positive):
+        return ELAPSED
+    return DATE if DATE_SIGNS.search(BRACKETED.sub("", positive)) else None
+
+
+def first_day(book: ZipFile) -> datetime:
+    """Day 0 of the workbook's calendar."""
+    properties = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{MAIN}workbookPr")
+    since_1904 = properties is not None and properties.get("date1904") in ("1", "true")
+    return EPOCH_1904 if since_1904 else EPOCH_1900
 
 
 def number_text(value: str) -> str:

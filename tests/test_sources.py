@@ -250,3 +250,63 @@ def test_many_workbooks_with_many_rows(spark, tmp_path):
     df = read_workbooks(spark, str(folder), CUSTOMERS)
     assert df.count() == 3 * 6001
     assert df.select("Customer ID").distinct().count() == 3 * 6001
+
+
+FORMATS = {
+    "0": "General", "14": None, "22": None, "46": None, "164": "dd/mm/yyyy", "165": "yyyy\\-mm\\-dd;@",
+    "166": "[h]:mm", "167": '#,##0.00" days"', "168": "[Red]0.0;[Blue]\\d0", "169": "[$-409]d\\-mmm\\-yy", "170": "h:mm AM/PM",
+    "171": "0.00E+00", "172": "_($* #,##0_)",
+}
+
+
+def styled_book(*cells, since_1904=False):
+    """A workbook with one row of (format number, value) cells, and its styles."""
+    line = "".join(f'<c s="{list(FORMATS).index(f)}"><v>{value}</v></c>' for f, value in cells)
+    content = BytesIO(book(f'<row r="2">{line}</row>'))
+    codes = "".join(f"<numFmt numFmtId='{n}' formatCode='{c}'/>" for n, c in FORMATS.items() if c)
+    styles = "".join(f'<xf numFmtId="{n}"/>' for n in FORMATS)
+    out = BytesIO()
+    with zipfile.ZipFile(content) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            part = old.read(name).decode()
+            if name == "xl/workbook.xml" and since_1904:
+                part = part.replace("<sheets>", '<workbookPr date1904="1"/><sheets>')
+            new.writestr(name, part)
+        new.writestr(
+            "xl/styles.xml",
+            f'<styleSheet xmlns="{MAIN}"><numFmts>{codes}</numFmts><cellStyleXfs><xf numFmtId="14"/></cellStyleXfs>'
+            f"<cellXfs>{styles}</cellXfs></styleSheet>",
+        )
+    return out.getvalue()
+
+
+def test_workbook_dates_are_text_and_numbers_stay_numbers(spark, tmp_path):
+    cells = [
+        ("14", 42618), ("22", 42618.5), ("164", "42618.0"), ("165", 42618.604166666664), ("169", 1), ("170", 0.604166666),
+        ("46", 1.0833333333333333), ("0", 42618), ("167", 42618.25), ("168", 7), ("171", 3.5),
+    ]
+    assert read_book(spark, tmp_path, styled_book(*cells)) == [
+        (
+            "2016-09-05 00:00:00", "2016-09-05 12:00:00", "2016-09-05 00:00:00", "2016-09-05 14:30:00",
+            "1900-01-01 00:00:00", "14:30:00", "1 day, 2:00:00", "42618", "42618.25", "7", "3.5",
+        )
+    ]
+
+
+def test_workbook_dates_since_1904_and_at_the_ends_of_the_calendar(spark, tmp_path):
+    cells = [("14", 41156), ("14", 0), ("14", 1), ("14", 1e9), ("166", 0.5), ("172", 2)]
+    assert read_book(spark, tmp_path, styled_book(*cells, since_1904=True))[0][:6] == (
+        "2016-09-05 00:00:00", "00:00:00", "1904-01-02 00:00:00", None, "12:00:00", "2",
+    )
+    cells = [("14", 59), ("14", 60), ("14", 61), ("14", 0.25), ("14", 2958465)]
+    assert read_book(spark, tmp_path, styled_book(*cells))[0][:5] == (
+        "1900-02-28 00:00:00", "1900-02-28 00:00:00", "1900-03-01 00:00:00", "06:00:00", "9999-12-31 00:00:00",
+    )
+
+
+def test_workbook_dates_that_are_texts(spark, tmp_path):
+    values = ["2016-09-05T00:00:00", "2016-09-05T14:30:00Z", "2016-09-05", "14:30:00", "soon"]
+    line = "".join(f'<c t="d"><v>{value}</v></c>' for value in values)
+    assert read_book(spark, tmp_path, book(f'<row r="2">{line}</row>'))[0][:5] == (
+        "2016-09-05 00:00:00", "2016-09-05 14:30:00", "2016-09-05", "14:30:00", None,
+    )
