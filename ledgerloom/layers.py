@@ -16,6 +16,7 @@ store, and whenever, readers find the table as it was or as it is now.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import time
@@ -83,6 +84,21 @@ def current_version(spark: SparkSession, path: str) -> Version | None:
         return Version(finished[-1])
 
 
+def fingerprint(*parts: object) -> str:
+    """A short text that differs if any of the parts, plain values, does."""
+    return hashlib.sha256(json.dumps(parts, sort_keys=True).encode()).hexdigest()[:32]
+
+
+def is_made_from(spark: SparkSession, path: str, made_from: str) -> bool:
+    """Whether the table's version that counts was stored with this ``made_from``, and is there."""
+    version = current_version(spark, path)
+    return (
+        version is not None
+        and version.made_from == made_from
+        and paths.exists(spark, f"{version_path(path, version)}/_SUCCESS")
+    )
+
+
 def store_table(
     df: DataFrame,
     path: str,
@@ -99,6 +115,9 @@ def store_table(
     overwrites it (object stores, which do that in one step). Of two stores at a time the one
     that ends last counts, and both are whole.
 
+    ``made_from`` is kept with the version: a fingerprint of what it was made from, by which a
+    flow tells that a step is done (``is_made_from``). It is published in the same step as the data.
+
     The version that was replaced stays for frames that still read it. It is swept, like what
     lost stores have left, by a store that comes ``sweep_hours`` after its last change.
 

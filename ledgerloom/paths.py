@@ -110,6 +110,19 @@ def _rename_over(spark: SparkSession, fs, source, target) -> None:
     context.rename(source, target, overwrite)
 
 
+def listing(spark: SparkSession, location: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of change of the file, or of all files below the folder; none if absent."""
+    fs, path = _resolve(spark, location)
+    if not fs.exists(path):
+        return []
+    found = []
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return sorted(found)
+
+
 def newest_change(spark: SparkSession, location: str) -> int:
     """When the folder or any file below it last changed, in milliseconds."""
     fs, path = _resolve(spark, location)

@@ -12,7 +12,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from ledgerloom import paths
-from ledgerloom.layers import SWEEP_HOURS, Layer, Staging, load_table, store_table, table_path
+from ledgerloom.layers import (
+    SWEEP_HOURS,
+    Layer,
+    Staging,
+    current_version,
+    fingerprint,
+    is_made_from,
+    load_table,
+    store_table,
+    table_path,
+)
 from ledgerloom.operators import rollups
 from ledgerloom.operators.conform import OnBadValue, conform, watch_bad_values
 from ledgerloom.operators.fact import dimension_slices, order_fact
@@ -107,14 +117,14 @@ class Mart:
 
     # raw layer
 
-    def write_products_raw(self, df: DataFrame) -> bool:
-        return self._store("raw", PRODUCTS.name, df)
+    def write_products_raw(self, df: DataFrame, made_from: str | None = None) -> bool:
+        return self._store("raw", PRODUCTS.name, df, made_from)
 
-    def write_customers_raw(self, df: DataFrame) -> bool:
-        return self._store("raw", CUSTOMERS.name, df)
+    def write_customers_raw(self, df: DataFrame, made_from: str | None = None) -> bool:
+        return self._store("raw", CUSTOMERS.name, df, made_from)
 
-    def write_orders_raw(self, df: DataFrame) -> bool:
-        stored = self._store("raw", ORDERS.name, df)
+    def write_orders_raw(self, df: DataFrame, made_from: str | None = None) -> bool:
+        stored = self._store("raw", ORDERS.name, df, made_from)
         if stored and self._orders_read and df is self._orders_read[0] and df.inputFiles():
             self.bad_records[ORDERS.name] = self._orders_read[1].get["records"]
             if self.bad_records[ORDERS.name]:
@@ -126,14 +136,14 @@ class Mart:
 
     # enriched layer
 
-    def write_products_enriched(self, df: DataFrame) -> bool:
-        return self._enrich(PRODUCTS, df)
+    def write_products_enriched(self, df: DataFrame, made_from: str | None = None) -> bool:
+        return self._enrich(PRODUCTS, df, made_from)
 
-    def write_customers_enriched(self, df: DataFrame) -> bool:
-        return self._enrich(CUSTOMERS, df)
+    def write_customers_enriched(self, df: DataFrame, made_from: str | None = None) -> bool:
+        return self._enrich(CUSTOMERS, df, made_from)
 
-    def write_orders_enriched(self, df: DataFrame) -> bool:
-        return self._enrich(ORDERS, df)
+    def write_orders_enriched(self, df: DataFrame, made_from: str | None = None) -> bool:
+        return self._enrich(ORDERS, df, made_from)
 
     def read_products_enriched(self) -> DataFrame:
         return self._load("enriched", PRODUCTS.name, PRODUCTS.schema)
@@ -147,7 +157,11 @@ class Mart:
     # fact and rollups
 
     def create_order_fact(
-        self, customers_df: DataFrame, orders_df: DataFrame, products_df: DataFrame
+        self,
+        customers_df: DataFrame,
+        orders_df: DataFrame,
+        products_df: DataFrame,
+        made_from: str | None = None,
     ) -> bool:
         """Join and store the fact. Dimension keys with very many rows are looked for first.
 
@@ -172,7 +186,7 @@ class Mart:
             )
 
         try:
-            return self._store_built("enriched", "order_fact", fact)
+            return self._store_built("enriched", "order_fact", fact, made_from)
         finally:
             for made in at.values():
                 paths.delete(self.spark, made)
@@ -180,19 +194,19 @@ class Mart:
     def read_order_fact(self) -> DataFrame:
         return self._load("enriched", "order_fact", ORDER_FACT)
 
-    def create_profit_cells(self, order_fact_df: DataFrame) -> bool:
+    def create_profit_cells(self, order_fact_df: DataFrame, made_from: str | None = None) -> bool:
         """Store the sums that all rollups can be made from, by one pass over the fact."""
         return self._store_built(
-            "aggregated", "profit_cells", lambda: rollups.profit_cells(order_fact_df)
+            "aggregated", "profit_cells", lambda: rollups.profit_cells(order_fact_df), made_from
         )
 
     def read_profit_cells(self) -> DataFrame:
         return self._load("aggregated", "profit_cells", PROFIT_CELLS_SCHEMA)
 
-    def create_profit_info(self, order_fact_df: DataFrame) -> bool:
+    def create_profit_info(self, order_fact_df: DataFrame, made_from: str | None = None) -> bool:
         """Store the profit info of a fact, or of its cells."""
         return self._store_built(
-            "aggregated", "profit_info", lambda: rollups.profit_info(order_fact_df)
+            "aggregated", "profit_info", lambda: rollups.profit_info(order_fact_df), made_from
         )
 
     def read_profit_info(self) -> DataFrame:
@@ -220,25 +234,28 @@ class Mart:
             self.spark, table_path(self.data_dir, layer, name), schema, self.on_missing
         )
 
-    def _store(self, layer: Layer, name: str, df: DataFrame) -> bool:
-        return self._store_built(layer, name, lambda: df)
+    def _store(self, layer: Layer, name: str, df: DataFrame, made_from: str | None) -> bool:
+        return self._store_built(layer, name, lambda: df, made_from)
 
-    def _enrich(self, table: Table, df: DataFrame) -> bool:
+    def _enrich(self, table: Table, df: DataFrame, made_from: str | None) -> bool:
         if self.on_bad_value == "fail":
-            return self._store_built("enriched", table.name, lambda: conform(df, table))
+            return self._store_built("enriched", table.name, lambda: conform(df, table), made_from)
 
         counts = Observation()
         stored = self._store_built(
             "enriched",
             table.name,
             lambda: conform(watch_bad_values(df, table, counts), table, "null"),
+            made_from,
         )
         if stored:
             self.bad_values[table.name] = counts.get
             log.warning("malformed values in %s: %s", table.name, counts.get)
         return stored
 
-    def _store_built(self, layer: Layer, name: str, build: Callable[[], DataFrame]) -> bool:
+    def _store_built(
+        self, layer: Layer, name: str, build: Callable[[], DataFrame], made_from: str | None
+    ) -> bool:
         try:
             df = build()
         except Exception:
@@ -247,7 +264,7 @@ class Mart:
                 return False
             raise
         path = table_path(self.data_dir, layer, name)
-        return store_table(df, path, self.staging, self.on_error, sweep_hours=self.sweep_hours)
+        return store_table(df, path, self.staging, self.on_error, made_from, self.sweep_hours)
 
 
 class MartTables(NamedTuple):
@@ -259,12 +276,49 @@ class MartTables(NamedTuple):
     profit_by_customer_and_year: DataFrame
 
 
+#: To be raised when a step comes to make other tables of the same inputs.
+STEPS_VERSION = 1
+
+
+class Journal:
+    """Which steps of a flow are done, told by the tables themselves.
+
+    Every stored table carries a fingerprint of what it was made from: the step's settings and
+    the versions of the tables, or the names, sizes and times of the files, that it reads. A
+    step is done if its table was made from what it would be made from now. As the fingerprint
+    is published together with the table, a flow that was lost anywhere goes on behind the
+    last step that ended, and a source file that changed makes only what depends on it anew.
+    """
+
+    def __init__(self, mart: Mart, resume: bool) -> None:
+        self.mart, self.resume = mart, resume
+        self.made: list[str] = []
+
+    def files(self, name: str) -> list[tuple[str, int, int]]:
+        return paths.listing(self.mart.spark, self.mart._file(name))
+
+    def version(self, layer: Layer, name: str) -> str | None:
+        found = current_version(self.mart.spark, table_path(self.mart.data_dir, layer, name))
+        return found and found.name
+
+    def step(self, layer: Layer, name: str, inputs: object, make: Callable[[str], bool]) -> None:
+        """``make`` stores the table with the fingerprint it is given, unless that is done."""
+        stamp = fingerprint(STEPS_VERSION, layer, name, inputs)
+        path = table_path(self.mart.data_dir, layer, name)
+        if self.resume and is_made_from(self.mart.spark, path, stamp):
+            log.info("%s/%s is up to date", layer, name)
+            return
+        make(stamp)
+        self.made.append(f"{layer}/{name}")
+
+
 def build_mart(
     spark: SparkSession,
     data_dir: str,
     on_bad_value: OnBadValue = "fail",
     staging: Staging = "swap",
     multi_line: bool = True,
+    resume: bool = False,
 ) -> MartTables:
     """Files to raw, raw to enriched, enriched to the fact, the fact to its rollups.
 
@@ -273,37 +327,69 @@ def build_mart(
     do not depend on each other and share the cluster. Every error is raised, so nothing
     is built from a table that failed. The fact is summed once, into cells; profit_info and
     the rollups, which are returned lazily, are made from these.
+
+    With ``resume`` only those tables are made whose inputs aren't the ones they were made
+    from (see ``Journal``). Values that became null are reported by the steps that run.
     """
     mart = Mart(
         spark, data_dir, on_bad_value=on_bad_value, staging=staging, multi_line=multi_line
     )
+    journal = Journal(mart, resume)
+
+    def source(table: Table, file: str, read: Callable[[], DataFrame], raw: Callable, enriched: Callable) -> None:
+        inputs = [journal.files(file), multi_line, on_bad_value]
+        journal.step("raw", table.name, inputs, lambda stamp: raw(read(), stamp))
+        inputs = [journal.version("raw", table.name), on_bad_value]
+        journal.step("enriched", table.name, inputs, lambda stamp: enriched(mart.read_raw(table), stamp))
 
     def products() -> None:
-        mart.write_products_raw(mart.read_products_csv())
-        mart.write_products_enriched(mart.read_raw(PRODUCTS))
+        source(
+            PRODUCTS, "Products.csv", mart.read_products_csv, mart.write_products_raw, mart.write_products_enriched
+        )
 
     def customers() -> None:
-        mart.write_customers_raw(mart.read_customers_excel())
-        mart.write_customers_enriched(mart.read_raw(CUSTOMERS))
+        source(
+            CUSTOMERS,
+            "Customer.xlsx",
+            mart.read_customers_excel,
+            mart.write_customers_raw,
+            mart.write_customers_enriched,
+        )
 
     def orders() -> None:
-        mart.write_orders_raw(mart.read_orders_json())
-        mart.write_orders_enriched(mart.read_raw(ORDERS))
+        source(ORDERS, "Orders.json", mart.read_orders_json, mart.write_orders_raw, mart.write_orders_enriched)
 
     with ThreadPoolExecutor() as pool:
         steps = [inheritable_thread_target(spark)(step) for step in (orders, customers, products)]
         for step in [pool.submit(step) for step in steps]:
             step.result()
 
-    mart.create_order_fact(
-        customers_df=mart.read_customers_enriched(),
-        orders_df=mart.read_orders_enriched(),
-        products_df=mart.read_products_enriched(),
+    journal.step(
+        "enriched",
+        "order_fact",
+        [journal.version("enriched", table.name) for table in (CUSTOMERS, ORDERS, PRODUCTS)],
+        lambda stamp: mart.create_order_fact(
+            customers_df=mart.read_customers_enriched(),
+            orders_df=mart.read_orders_enriched(),
+            products_df=mart.read_products_enriched(),
+            made_from=stamp,
+        ),
     )
     fact = mart.read_order_fact()
-    mart.create_profit_cells(fact)
+    journal.step(
+        "aggregated",
+        "profit_cells",
+        journal.version("enriched", "order_fact"),
+        lambda stamp: mart.create_profit_cells(fact, stamp),
+    )
     cells = mart.read_profit_cells()
-    mart.create_profit_info(cells)
+    journal.step(
+        "aggregated",
+        "profit_info",
+        journal.version("aggregated", "profit_cells"),
+        lambda stamp: mart.create_profit_info(cells, stamp),
+    )
+    log.info("made %s", journal.made)
     return MartTables(
         order_fact=fact,
         profit_info=mart.read_profit_info(),

@@ -1,0 +1,113 @@
+"""A flow that ends anywhere goes on where it ended, and makes only what changed."""
+
+from __future__ import annotations
+
+import os
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+import pytest
+
+from ledgerloom import build_mart, profit_by_customer, profit_info
+from ledgerloom.plans import mart as plan
+from tests.conftest import bag, rows
+from tests.test_mart import write_files
+from tests.test_rollups import EXPECTED
+
+TABLES = [
+    "raw/products", "raw/customers", "raw/orders", "enriched/products", "enriched/customers", "enriched/orders",
+    "enriched/order_fact", "aggregated/profit_cells", "aggregated/profit_info",
+]
+
+
+class Killed(BaseException):
+    pass
+
+
+@pytest.fixture
+def stores(monkeypatch):
+    """Counts tables as they are stored; ends the flow before or after the one asked for."""
+    made: list[str] = []
+    limit: dict[str, int | None] = {"before": None, "after": None}
+    store = plan.store_table
+
+    def counted(df, path, *options):
+        if len(made) == limit["before"]:
+            raise Killed
+        stored = store(df, path, *options)
+        made.append("/".join(path.removesuffix(".parquet").split("/")[-2:]))
+        if len(made) == limit["after"]:
+            raise Killed
+        return stored
+
+    monkeypatch.setattr(plan, "store_table", counted)
+    # One after the other, so that "after n steps" means the same each time.
+    monkeypatch.setattr(plan, "ThreadPoolExecutor", partial(ThreadPoolExecutor, 1))
+    return made, limit
+
+
+def check(tables):
+    assert rows(tables.profit_by_customer) == EXPECTED[profit_by_customer]
+    assert bag(tables.profit_info) == sorted(EXPECTED[profit_info], key=repr)
+    assert tables.order_fact.count() == 5
+
+
+@pytest.mark.parametrize("moment", ["before", "after"])
+@pytest.mark.parametrize("number", [0, 1, 4, 7, 9])
+def test_a_flow_ended_at_any_step_goes_on_from_there(spark, data_dir, stores, moment, number):
+    made, limit = stores
+    write_files(data_dir)
+    if (moment, number) in [("after", 0), ("before", 9)]:
+        pytest.skip("no such moment")
+    limit[moment] = number
+    with pytest.raises(Killed):
+        build_mart(spark, data_dir, resume=True)
+    finished = set(made)
+    limit.update(before=None, after=None)
+    made.clear()
+    check(build_mart(spark, data_dir, resume=True))
+    assert set(made) == set(TABLES) - finished
+    made.clear()
+    check(build_mart(spark, data_dir, resume=True))
+    assert made == []
+
+
+def test_a_changed_source_makes_only_what_depends_on_it(spark, data_dir, stores):
+    made, _ = stores
+    write_files(data_dir)
+    build_mart(spark, data_dir, resume=True)
+    made.clear()
+    path = f"{data_dir}/files/Products.csv"
+    with open(path, "a") as file:
+        file.write("P-new,Pottery,Cups,Cup,NM,3\n")
+    check(build_mart(spark, data_dir, resume=True))
+    dependent = {"raw/products", "enriched/products", "enriched/order_fact", "aggregated/profit_cells"}
+    assert set(made) == dependent | {"aggregated/profit_info"}
+
+
+def test_other_settings_make_the_typed_tables_anew(spark, data_dir, stores):
+    made, _ = stores
+    write_files(data_dir)
+    build_mart(spark, data_dir, resume=True)
+    made.clear()
+    check(build_mart(spark, data_dir, on_bad_value="null", resume=True))
+    assert set(made) == set(TABLES)
+
+
+def test_without_resume_everything_is_made(spark, data_dir, stores):
+    made, _ = stores
+    write_files(data_dir)
+    build_mart(spark, data_dir)
+    build_mart(spark, data_dir)
+    assert sorted(made) == sorted(TABLES * 2)
+
+
+def test_a_version_that_is_gone_is_made_anew(spark, data_dir, stores):
+    made, _ = stores
+    write_files(data_dir)
+    build_mart(spark, data_dir, resume=True)
+    made.clear()
+    folder = f"{data_dir}/enriched/orders.parquet/_versions"
+    os.rename(f"{folder}/{os.listdir(folder)[0]}", f"{data_dir}/elsewhere")
+    check(build_mart(spark, data_dir, resume=True))
+    assert "enriched/orders" in made and "raw/orders" not in made and "enriched/customers" not in made
