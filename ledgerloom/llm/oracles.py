@@ -84,7 +84,7 @@ covered AS (
   SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(5) r(k) GROUP BY doc_id),
 counted AS (SELECT doc_id, count(*) AS n, sum(length(w)) AS chars FROM words GROUP BY doc_id),
 lines AS (
-  SELECT doc_id, sum(n - 1) AS n FROM (
+  SELECT doc_id, sum(n - 1) AS n, sum(n) AS n_lines FROM (
     SELECT doc_id, line, count(*) AS n
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line)
@@ -92,12 +92,14 @@ lines AS (
 facts AS (
   SELECT d.doc_id, d.source, coalesce(c.n, 0) AS n_words, coalesce(c.chars, 0) AS word_chars,
          coalesce(len(regexp_extract_all(d.text, '[#*$%&|<>]')), 0) AS n_symbols,
-         coalesce(l.n, 0) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words
+         coalesce(l.n, 0) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words,
+         coalesce(l.n_lines, 0) AS n_lines
   FROM documents d LEFT JOIN counted c USING (doc_id) LEFT JOIN lines l USING (doc_id)
   LEFT JOIN covered v USING (doc_id)),
 judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-         base_failed OR 10 * n_symbols > word_chars OR 100 * n_dup_lines > 3 * n_words AS failed
+         base_failed OR n_symbols > word_chars / 10
+           OR 10 * n_dup_lines > 3 * greatest(n_lines, n_words / 10) AS failed
   FROM facts),
 counts AS (
   SELECT source, count(*) AS host_docs, count(*) FILTER (failed) AS failures
@@ -113,7 +115,7 @@ rates AS (
   FROM counts, prior)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
-       n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       n_repeat_words::BIGINT AS n_repeat_words, n_lines::BIGINT AS n_lines, base_failed,
        NOT base_failed AND coalesce(host_rate <= 0.5, true) AS kept, failed, host_docs, host_rate
 FROM judged LEFT JOIN rates USING (source)
 """,

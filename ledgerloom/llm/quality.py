@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import Scratch, beside, over_slices, split_words, word_codes
 
 WINDOW = 5
-FACTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+FACTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 
 def repeated_window_words(codes: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
@@ -73,6 +73,7 @@ def _measure() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
             "n_symbols": pc.count_substring_regex(texts, r"[#*$%&|<>]").cast(pa.int64()),
             "n_dup_lines": count(line_owner[later]),
             "n_repeat_words": count(owner[repeats]),
+            "n_lines": count(line_owner),
         }
         kept = {name: batch.column(name) for name in batch.schema.names if name != "text"}
         return pa.RecordBatch.from_pydict(kept | {k: pa.array(v) for k, v in facts.items()})
@@ -96,8 +97,9 @@ def host_rules(
 
     A document fails the base rule with under 10 words, or when more than a fifth of its
     words lie in five-word windows that its text has twice. It also counts as a failure of
-    its host when over a tenth of its characters are symbols, or over three tenths of its
-    lines are earlier ones again (counted against words / 10 lines at least).
+    its host when it has over a tenth as many symbols as characters in words, or when over
+    three tenths of its lines are earlier ones again. Lines are those with a word, and are
+    counted as a tenth of the words at least, so that few long lines aren't judged by one or two.
 
     For each host, with n documents of which f fail any rule, the rate is
     (f + a) / (n + a + b). The beta prior (a, b) has the mean and variance of the failure
@@ -122,7 +124,7 @@ def host_rules(
             "base_failed"
         ),
         (10 * F.col("n_symbols") > F.col("word_chars")).alias("_symbols"),
-        (100 * F.col("n_dup_lines") > 3 * F.col("n_words")).alias("_lines"),
+        (100 * F.col("n_dup_lines") > 3 * F.greatest(10 * F.col("n_lines"), F.col("n_words"))).alias("_lines"),
     ).withColumn("failed", F.col("base_failed") | F.col("_symbols") | F.col("_lines"))
     judged = scratch.keep(judged.drop("_symbols", "_lines"), "judged")
     hosts = scratch.keep(host_rates(judged.where(F.col("_host").isNotNull())), "hosts")
@@ -133,6 +135,7 @@ def host_rules(
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
+        "n_lines",
         "base_failed",
         (~F.col("base_failed") & F.coalesce(F.col("host_rate") <= worst_rate, F.lit(True))).alias("kept"),
         "failed",

@@ -65,7 +65,7 @@ def facts_by_hand(text):
     repeated = {i + k for i, g in enumerate(grams) if often[g] > 1 for k in range(5)}
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
     symbols = sum(c in "#*$%&|<>" for c in text or "")
-    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated), len(lines)
 
 
 def test_facts_against_brute_force(spark):
@@ -74,7 +74,7 @@ def test_facts_against_brute_force(spark):
     texts = [None, "", " \n ", "a", "a b c d e a b c d e", "a a a a a a a", "x y\nx y\n x y", "né " * 4000]
     texts += ["".join(rnd.choice("abcé") + rnd.choice(gaps) for _ in range(rnd.randint(1, 80))) for _ in range(200)]
     found = host_rules(docs(spark, *[(i, t, "h") for i, t in enumerate(texts)]))
-    got = {r.doc_id: tuple(r[1:6]) for r in found.collect()}
+    got = {r.doc_id: tuple(r[1:7]) for r in found.collect()}
     assert got == {i: facts_by_hand(t) for i, t in enumerate(texts)}
 
 
@@ -92,5 +92,27 @@ def test_bad_hosts_lose_all_documents_and_small_ones_get_the_benefit_of_the_doub
     assert rates == {None} and len(found) == len(records)
 
 
+@pytest.mark.parametrize(
+    ("n_lines", "n_same", "words", "failed"),
+    [
+        (60, 6, 3, False),  # a tenth of the lines, and of few words each
+        (60, 18, 3, False),
+        (60, 19, 3, True),
+        (4, 1, 100, False),  # 400 words count as 40 lines
+        (10, 3, 10, False),
+        (10, 4, 10, True),
+    ],
+)
+def test_repeated_lines_are_a_share_of_the_lines(spark, n_lines, n_same, words, failed):
+    lines = [" ".join(f"w{i}-{k}" for k in range(words)) for i in range(n_lines - n_same)]
+    lines += lines[:1] * n_same if words < 5 else []
+    if words >= 5:  # repeated in turns of their own that share no window with another line
+        lines = ["x"] * (n_same + 1) + lines[1:]
+    text = "\n".join(lines) + "\n\n \n"
+    row = host_rules(docs(spark, (1, text, None))).first()
+    assert (row.n_lines, row.n_dup_lines) == (n_lines, n_same)
+    assert row.failed == (failed or row.base_failed)
+
+
 def test_rules_of_nothing(spark):
     assert rows(host_rules(docs(spark))) == []
