@@ -6,7 +6,8 @@ nothing it ends, and what lies between is kept. Lines that markup itself calls s
 else (menus, footers, forms, adverts, comments and so on) have no length, nor has link
 text. What markup calls the article is measured like all else. Only where it holds at least
 half of the page's text does it weigh more: then its links count as text, and a side note
-within is no dive.
+within is no dive. Nor does any article end where the element goes on that directly holds
+its lines, such as a ``div``: what follows a side note or a list of links there is kept.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ OTHER = frozenset("nav aside footer form head menu dialog button".split())
 OTHER_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu".split()
 )
+#: Elements that hold parts of a page. Text that goes on in the one where the article is belongs to it.
+HOLDERS = frozenset("div section article main dd form details blockquote".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 #: Words in a class or id, at their beginnings, that say that an element isn't the article.
@@ -69,6 +72,7 @@ class Line:
     side: bool  # markup says that it isn't the article
     article: bool  # markup says that it is, or that it's a side note of one
     main: bool  # the same, or markup only says that the page's main part is around it
+    holder: int  # the innermost element around it that holds a part of the page, 0 if there is none
 
 
 def _is_side(name: str, attributes: str, in_article: bool) -> bool:
@@ -145,7 +149,8 @@ def _pieces(page: str):
 def page_lines(page: str) -> list[Line]:
     """One line for each block with text, in page order; boundaries of sections are empty."""
     lines: list[Line] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, side, article: as of the innermost
+    open_tags: list[tuple[str, bool, bool, int]] = []  # name, and as of the innermost: side, article, holder
+    holders = 0
     text: list[str] = []
     linked = 0
     links = 0
@@ -155,13 +160,13 @@ def page_lines(page: str) -> list[Line]:
         nonlocal linked
         joined = " ".join(html.unescape("".join(text)).split())
         if joined:
-            _, side, article = open_tags[-1] if open_tags else ("", False, False)
+            _, side, article, holder = open_tags[-1] if open_tags else ("", False, False, 0)
             in_header = any(t[0] == "header" for t in open_tags)
             side = side or (in_header and article and not heading)
             side = side or (not article and _RIGHTS.match(joined) is not None)
             length = 0 if side else max(0, len(joined) - linked)
             inside = any(t[0] == "article" and t[2] and not t[1] for t in open_tags)
-            lines.append(Line(joined, length, side, inside, article))
+            lines.append(Line(joined, length, side, inside, article, holder))
         text.clear()
         linked = 0
 
@@ -201,7 +206,7 @@ def page_lines(page: str) -> list[Line]:
             open_tags.pop()
         if name == "li" and open_tags and open_tags[-1][0] == "li":
             open_tags.pop()
-        _, side, article = open_tags[-1] if open_tags else ("", False, False)
+        _, side, article, holder = open_tags[-1] if open_tags else ("", False, False, 0)
         own = _is_side(name, attributes, article)
         if not block and not own:
             continue
@@ -210,7 +215,10 @@ def page_lines(page: str) -> list[Line]:
         if name in ("article", "main") and not own and not any(t[2] for t in open_tags):
             side = any(t[0] in OTHER for t in open_tags)
             article = not side
-        open_tags.append((name, side or own, article))
+        if name in HOLDERS:
+            holders += 1
+            holder = holders
+        open_tags.append((name, side or own, article, holder))
     close_line()
     return lines
 
@@ -241,6 +249,10 @@ def main_blocks(page: str) -> list[str]:
         for j in range(start, end):
             keep[j] = not lines[j].side
         i = max(end, i + 1)
+    # A side note or a list of links is no dive where the element that holds the article goes on.
+    holders = {x.holder for x, k in zip(lines, keep, strict=True) if k} - {0}
+    for j, x in enumerate(lines):
+        keep[j] = keep[j] or (x.holder in holders and length[j] > 0 and not x.side)
     if not any(keep):  # no surge: a page of a few short lines, of which markup may tell the main ones
         marked = [bool(n) and x.main for n, x in zip(length, lines, strict=True)]
         share = sum(n for n, k in zip(length, marked, strict=True) if k)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from ledgerloom.llm.html import extract_main_text, main_blocks
@@ -90,3 +92,51 @@ def test_what_is_closed_is_still_skipped():
     assert main_blocks("<p>a</p><svg/><p>b</p><svg><text>c</text></svg><noscript>d</noscript><p>e</p>") == ["a", "b", "e"]
     assert main_blocks("<p>a</p><script>b<p>c</p>") == ["a"]
     assert len(main_blocks("<p>x<object>" * 20_000)) == 20_000
+
+
+ASIDE = "<aside><p>a</p><p>b</p><p>c</p></aside>"
+ADVERTS = "<div class='ad'><p>buy</p><p>now</p><p>cheap</p></div>"
+
+
+@pytest.mark.parametrize("between", [ASIDE, LINKS, ADVERTS, ASIDE + LINKS, f"<div>{LINKS}</div>"])
+@pytest.mark.parametrize("holder", ["div", "section"])
+def test_closing_paragraphs_of_a_body_that_goes_on_are_kept(between, holder):
+    body = f"<h1>Head</h1><p>{LONG}</p>{between}<p>A short closing paragraph.</p>"
+    page = f"<body><nav><a>Home</a></nav><{holder}>{body}</{holder}><div><p>Call us</p></div></body>"
+    assert main_blocks(page) == ["Head", LONG.strip(), "A short closing paragraph."]
+
+
+def test_opening_lines_and_list_items_of_a_body_are_kept():
+    page = f"<div><p>By A. Writer</p>{LINKS}<p>{LONG}</p>{ASIDE}<ul><li>first point</li><li>last point</li></ul></div>"
+    assert main_blocks(page) == ["By A. Writer", LONG.strip(), "first point", "last point"]
+
+
+def test_what_lies_around_the_body_is_still_left():
+    page = f"<div><p>Welcome</p>{LINKS}<div><p>{LONG}</p></div>{LINKS}<p>Call us</p></div>"
+    assert main_blocks(page) == [LONG.strip()]
+
+
+def windows_by_hand(lengths):
+    """Which lines the window rule keeps, stated over all places at once: lines from a surge back
+    to the last empty line and on to the first window without text."""
+    n = len(lengths)
+    sums = [sum(lengths[i : i + 3]) for i in range(n)]
+    kept = set()
+    for i in range(n):
+        if sums[i] >= 86 and lengths[i]:
+            start = i
+            while start and lengths[start - 1]:
+                start -= 1
+            end = next((j for j in range(i, n) if not sums[j]), n)
+            kept.update(range(start, end))
+    return kept
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_surge_and_dive_equal_the_rule_stated_plainly(seed):
+    rnd = random.Random(seed)
+    lengths = [rnd.choice([0, 0, 0, 5, 20, 40, 90]) for _ in range(30)]
+    page = "".join(f"<p>{'x' * n}</p>" if n else f"<p><a>link {i}</a></p>" for i, n in enumerate(lengths))
+    texts = ["x" * n if n else f"link {i}" for i, n in enumerate(lengths)]
+    kept = windows_by_hand(lengths) or {i for i, n in enumerate(lengths) if n}
+    assert main_blocks(page) == [t for i, t in enumerate(texts) if i in kept]
