@@ -173,12 +173,17 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFr
     A null text has no spans. All rows and columns stay; a column named ``into`` would be
     replaced.
     """
-    value = F.coalesce(F.col(text), F.lit(""))
+    # The row goes along as one column, so that no name in it can clash.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("value"),
+    )
+    value = F.col("value")
     nothing = F.array().cast("array<string>")
     # A step each, so that matches are looked for once and pieces only beside matches.
-    found = docs.withColumns(
+    found = rows.withColumns(
         {
-            f"_found_{k.name}": F.when(
+            f"found_{k.name}": F.when(
                 value.rlike(k.sign), F.regexp_extract_all(value, F.lit(k.pattern), F.lit(0))
             ).otherwise(nothing)
             for k in KINDS
@@ -186,18 +191,17 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFr
     )
     none = F.array().cast(PROPOSED)
     by_kind = [
-        F.when(F.size(f"_found_{k.name}") > 0, _spans(i, k, F.col(f"_found_{k.name}"), value)).otherwise(
-            none
-        )
+        F.when(F.size(f"found_{k.name}") > 0, _spans(i, k, F.col(f"found_{k.name}"), value)).otherwise(none)
         for i, k in enumerate(KINDS)
     ]
     spans = F.transform(
         F.array_sort(F.concat(*by_kind)), lambda s: F.struct(s["start"], s["end"], s["kind"], s["score"])
     )
-    any_found = sum((F.size(f"_found_{k.name}") for k in KINDS), F.lit(0)) > 0
+    any_found = sum((F.size(f"found_{k.name}") for k in KINDS), F.lit(0)) > 0
     empty = F.array().cast("array<struct<start: int, end: int, kind: string, score: double>>")
-    return found.withColumn(into, F.when(any_found, spans).otherwise(empty)).drop(
-        *[f"_found_{k.name}" for k in KINDS]
+    return found.select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c != into],
+        F.when(any_found, spans).otherwise(empty).alias(into),
     )
 
 
@@ -207,8 +211,12 @@ def redact(docs: DataFrame, text: str = "text", least_score: float = 0.5) -> Dat
     Overlapping spans become one, named by the first. Texts without spans stay as they
     are, null ones too.
     """
-    found = find_pii(docs, text, "_spans").withColumn(
-        "_spans", F.filter("_spans", lambda s: s["score"] >= least_score)
+    rows = docs.select(
+        F.struct(F.lit(0), *[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    found = find_pii(rows, "text", "spans").withColumn(
+        "spans", F.filter("spans", lambda s: s["score"] >= least_score)
     )
     init = F.array().cast("array<struct<start: int, end: int, kind: string>>")
 
@@ -223,22 +231,23 @@ def redact(docs: DataFrame, text: str = "text", least_score: float = 0.5) -> Dat
         alone = F.concat(acc, F.array(F.struct(s["start"], s["end"], s["kind"])))
         return F.when((F.size(acc) > 0) & (s["start"] < last["end"]), joined).otherwise(alone)
 
-    merged = found.withColumn("_spans", F.aggregate("_spans", init, merge))
-    value = F.col(text)
+    merged = found.withColumn("spans", F.aggregate("spans", init, merge))
+    value = F.col("text")
     before = F.transform(
-        "_spans",
+        "spans",
         lambda s, i: F.concat(
             F.substring(
                 value,
-                F.when(i > 0, F.get("_spans", i - 1)["end"]).otherwise(0) + 1,
-                s["start"] - F.when(i > 0, F.get("_spans", i - 1)["end"]).otherwise(0),
+                F.when(i > 0, F.get("spans", i - 1)["end"]).otherwise(0) + 1,
+                s["start"] - F.when(i > 0, F.get("spans", i - 1)["end"]).otherwise(0),
             ),
             F.lit("["),
             F.upper(s["kind"]),
             F.lit("]"),
         ),
     )
-    tail = F.substring(value, F.element_at("_spans", -1)["end"] + 1, F.length(value))
-    return merged.withColumn(
-        text, F.when(F.size("_spans") > 0, F.concat(F.array_join(before, ""), tail)).otherwise(value)
-    ).drop("_spans")
+    tail = F.substring(value, F.element_at("spans", -1)["end"] + 1, F.length(value))
+    clean = F.when(F.size("spans") > 0, F.concat(F.array_join(before, ""), tail)).otherwise(value)
+    return merged.select(
+        *[clean.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
+    )
