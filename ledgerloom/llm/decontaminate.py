@@ -230,7 +230,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4)
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     id_type = benchmark.schema["item_id"].dataType.simpleString()
     match = f"struct<item_id: {id_type}, score: double, n_same: bigint, first_word: bigint, end_word: bigint>"
-    out = docs.drop("matches").withColumn("matches", F.array().cast(f"array<{match}>"))
+    # What a row has beside its text goes along as one column, so that no name in it can clash.
+    kept = [c for c in docs.columns if c != "matches"]
+    out = docs.select(
+        F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept if c != "text"]).alias("row"),
+        "text",
+        F.array().cast(f"array<{match}>").alias("matches"),
+    )
     schema = beside(out, "", f"_matches array<{match}>")
     for block in range(blocks):
         mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
@@ -256,4 +262,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4)
             .withColumn("matches", F.concat("matches", "_matches"))
             .drop("_matches")
         )
-    return out
+    return out.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in kept], "matches")
