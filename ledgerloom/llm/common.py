@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -12,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerloom.paths import work_dir
+from ledgerloom.paths import delete, work_dir
 
 #: Characters of text that an operator in Python takes at a time, so that its memory
 #: doesn't depend on how many long texts an Arrow batch holds. A single longer text is
@@ -39,6 +41,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Folders of scratch tables made while ``scratch_until_done`` is in force, if it is.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch_until_done(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch tables that operators make inside, at the end.
+
+    For a caller that has by then written down what it needs of their results.
+    """
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        for root in _made.get():
+            delete(spark, root)
+        _made.reset(token)
+
+
 class Scratch:
     """Tables that one call of an operator writes and rereads.
 
@@ -48,12 +69,17 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, work_dir(spark, label)
+        if _made.get() is not None:
+            _made.get().append(self.root)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        delete(self.spark, f"{self.root}/{name}")
+
 
 def beside(df: DataFrame, text: str, columns: str) -> T.StructType:
     """The schema of ``df`` with ``columns`` in the place of the column ``text``."""

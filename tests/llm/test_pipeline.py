@@ -11,11 +11,13 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import queries
 from ledgerloom.llm import jaccard
 from ledgerloom.llm.queries import ORACLES, QUERIES
+from ledgerloom.paths import children, scratch_root
 from tests.llm.test_similarity import linked_by_hand
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -99,7 +101,7 @@ def test_query_matches_its_sql(spark, duck, name):
 
 @needs_tables
 def test_each_operator_has_its_query():
-    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
 
 
 def five_word_groups(texts):
@@ -133,3 +135,44 @@ def test_near_copies_against_a_five_word_brute_force(spark, monkeypatch, bucket,
     found = {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
     assert found == set(five_word_groups(texts))
     assert 1 not in found and 3 not in found and 4 in found
+
+
+CLASHING = ["_spans", "_found_email", "found_email", "_matches", "matches", "spans", "row", "value", "_key", "doc", "gone"]
+
+
+def test_documents_with_the_operators_own_names_go_through_every_stage(spark, small, tmp_path):
+    folder, _ = small
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
+    added = [name for name in CLASHING if name not in docs.columns]
+    clashing = docs.select("*", *[F.concat(F.lit(f"{name} "), F.col("doc_id")).alias(name) for name in added])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = stage(spark, docs, folder)
+        wide = stage(spark, clashing, folder)
+        assert wide.dtypes == clashing.dtypes, name
+        # Of rows that share an id, hashes of all columns choose; ids and how often they stay are the same.
+        ids = [Counter(r.doc_id for r in frame.select("doc_id").collect()) for frame in (wide, plain)]
+        assert ids[0] == ids[1], name
+        for column in added:
+            assert wide.where(F.col(column) != F.concat(F.lit(f"{column} "), F.col("doc_id"))).count() == 0
+
+
+def test_without_labels_texts_without_letters_still_go(spark):
+    rows = [(1, "some text", None), (2, None, None), (3, " 12 !", None), (4, "", None), (5, "\u65e5\u672c", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 5] and kept.dtypes == docs.dtypes
+
+
+def test_scratch_tables_go_with_their_stage(spark, small):
+    folder, _ = small
+    before = set(below(spark))
+    result = corpus_pipeline.run(spark, folder)
+    left = set(below(spark)) - before
+    assert len(left) == 1 and result.count() > 0
+    assert all(name.startswith("pipeline") for name in left)
+    (root,) = left
+    assert children(spark, f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{root}") == ["pieces"]
+
+
+def below(spark):
+    return children(spark, f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
