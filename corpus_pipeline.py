@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Scratch, read_table
+from ledgerloom.llm.common import Scratch, read_table, scratch_until_done
 from ledgerloom.llm.decontaminate import find_leaks
 from ledgerloom.llm.jaccard import jaccard_components
 from ledgerloom.llm.language import UNDETERMINED, fit_languages, held_out, identify_languages
@@ -38,12 +38,13 @@ def _unrow(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: null, empty or without a letter.
 
-    The languages are learned from the labelled documents that aren't held out.
+    The languages are learned from the labelled documents that aren't held out. Where nothing is
+    labelled all texts with a letter stay. Repeated rows are judged alike.
     """
     labelled = docs.select("doc_id", "text", "lang")
     moves = fit_languages(labelled.where(~held_out(F.col("doc_id"))))
-    if not len(moves):  # nothing is labelled, so nothing can be told apart
-        return docs
+    if not len(moves):  # nothing is labelled, so languages can't be told apart, but letters can
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = identify_languages(_row(docs), moves, "row", "text")
     return _unrow(found.where(F.col("lang_pred") != UNDETERMINED), docs)
 
@@ -69,13 +70,19 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item, as it is or edited."""
+    """Drops documents that hold a benchmark item, as it is or edited.
+
+    Null and empty texts hold none and stay; repeated rows go or stay together.
+    """
     found = find_leaks(_row(docs), read_table(spark, sf_dir, "benchmark"))
     return _unrow(found.where(F.size("matches") == 0), docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind; ``n_chars`` follows. No document goes."""
+    """Replaces personal data by its kind; ``n_chars`` follows. No document goes.
+
+    Null and empty texts stay as they are, repeated rows are treated alike.
+    """
     clean = redact(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -83,7 +90,10 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, packed, with the source bytes at which pieces end."""
+    """Token ids of every document, packed, with the source bytes at which pieces end.
+
+    A null text is an empty one; repeated rows have a row each.
+    """
     encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", "ends"
@@ -103,9 +113,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
+    """All stages over ``documents``; the last one's rows.
+
+    A stage's scratch tables, and the rows of the stage before, go once its own are written.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        with scratch_until_done(spark):
+            docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        if before:  # what a stage has read is needed until its own rows are written
+            scratch.drop(before)
+        before = name
     return docs
