@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -49,7 +50,9 @@ _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 def scratch_until_done(spark: SparkSession) -> Iterator[None]:
     """Deletes the scratch tables that operators make inside, at the end.
 
-    For a caller that has by then written down what it needs of their results.
+    For a caller that has by then written down what it needs of their results. Shuffle files go
+    with the frames that wrote them; Spark's cleaner sees that these are gone when the
+    driver's garbage is collected, which may otherwise take half an hour.
     """
     token = _made.set([])
     try:
@@ -58,6 +61,8 @@ def scratch_until_done(spark: SparkSession) -> Iterator[None]:
         for root in _made.get():
             delete(spark, root)
         _made.reset(token)
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 class Scratch:
