@@ -60,11 +60,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(whole.alias("row"), identity.alias("doc"))
     keys = docs.select(identity.alias("doc"), "text")
-    found = jaccard_components(keys, "doc", COPY_WORDS, COPY_PERCENT)
+    scratch = Scratch(spark, "copies")
+    with scratch_until_done(spark):
+        found = scratch.keep(jaccard_components(keys, "doc", COPY_WORDS, COPY_PERCENT), "found")
     gone = found.where(F.col("doc") != F.col("component_id")).select("doc").distinct()
     repeated = found.where(F.col("doc") == F.col("component_id")).groupBy("doc").count().where("count > 1")
     marked = gone.select("doc", F.lit(True).alias("gone")).union(repeated.select("doc", F.lit(False)))
-    told = rows.join(Scratch(spark, "copies").keep(marked, "marked"), "doc", "left")
+    told = rows.join(scratch.keep(marked, "marked"), "doc", "left")
     once = told.where("not gone").dropDuplicates(["doc"])
     return told.where("gone is null").union(once).select("row.*")
 
