@@ -7,7 +7,8 @@ of a text tile its UTF-8 bytes.
 
 No merge can cross a place that no piece of the vocabulary holds inside, as before a
 space or beside a line feed. There the text falls into units, which repeat a lot: a task
-merges each different unit once and keeps what it gave.
+merges each different unit once, all new ones of a slice of texts in step, and keeps what
+they gave.
 """
 
 from __future__ import annotations
@@ -28,7 +29,11 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 #: Units of a generation: those of this and the last are kept. Only speed depends on it.
 KEPT_UNITS = 100_000
-SHORT_UNIT = 60
+#: Characters up to which units are merged in step, and how many at a time.
+SHORT_UNIT, UNITS_IN_STEP = 60, 16_384
+
+#: The rank of a pair that doesn't merge.
+NEVER = np.iinfo(np.int64).max
 
 codecs.register_error("each", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -133,8 +138,95 @@ class PieceModel:
             re.DOTALL,
         )
         self.parts: dict[str, tuple[bytes, bytes, bytes]] = {}
+        self._number_symbols()
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
 
+    def _number_symbols(self) -> None:
+        """Numbers for pieces and for the characters in them, and a table of the pairs that merge.
+
+        A pair is two symbols whose texts together are a piece; its rank is that of the piece.
+        """
+        self.symbols = list(dict.fromkeys([*self.ids, *(c for p in self.ids for c in p)]))
+        self.number = number = {p: i for i, p in enumerate(self.symbols)}
+        pairs = sorted(
+            (number[p[:k]] * len(number) + number[p[k:]], number[p])
+            for p in self.ids
+            for k in range(1, len(p))
+            if p[:k] in number and p[k:] in number
+        )
+        self.pairs, self.joined = np.array(pairs, np.int64).reshape(-1, 2).T.copy()
+        self.ranks = np.unique([self.order[p] for p in self.ids], return_inverse=True)[1]
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranks of pairs of symbols and what they become; NEVER for those that don't merge."""
+        if not len(self.pairs):
+            return np.full(left.shape, NEVER), np.zeros(left.shape, np.int64)
+        wanted = left * len(self.symbols) + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        real = (self.pairs[at] == wanted) & (left >= 0) & (right >= 0)
+        piece = self.joined[at]
+        return np.where(real, self.ranks[piece], NEVER), piece
+
+    def merge_in_step(self, units: list[str]) -> list[list[str]]:
+        """The pieces of each unit, as ``merge`` finds them, one merge of every unit at a time.
+
+        A unit is a row of symbols; of each row the pair of the least rank, the leftmost of
+        equals, becomes one symbol and what follows moves up.
+        """
+        out: list[list[str]] = [[]] * len(units)
+        order = sorted(range(len(units)), key=lambda i: len(units[i]))
+        while order and len(units[order[-1]]) > SHORT_UNIT:
+            i = order.pop()
+            out[i] = self._merge_long(units[i])
+        for start in range(0, len(order), UNITS_IN_STEP):
+            some = order[start : start + UNITS_IN_STEP]
+            for i, parts in zip(some, self._merge_rows([units[i] for i in some]), strict=True):
+                out[i] = parts
+        return out
+
+    def _merge_rows(self, units: list[str]) -> list[list[str]]:
+        sizes = np.array([len(u) for u in units])
+        width = int(sizes.max())
+        joined = "".join(units)
+        # Characters that no piece has are numbered behind the symbols; they merge with nothing.
+        strange = list(dict.fromkeys(c for c in set(joined) if c not in self.number))
+        names = self.symbols + strange if strange else self.symbols
+        number = self.number | {c: len(self.symbols) + i for i, c in enumerate(strange)} if strange else self.number
+        codes = np.fromiter(map(number.__getitem__, joined), np.int64, len(joined))
+        live = np.arange(width) < sizes[:, None]
+        rows = np.full(live.shape, -1, np.int64)
+        rows[live] = codes
+        known = np.where(rows < len(self.symbols), rows, -1)
+        rank, piece = self._rank_of(known[:, :-1], known[:, 1:])
+        done: list[list[str]] = [[]] * len(units)
+        index = np.arange(len(units))
+        while len(index):
+            best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(index), np.int64)
+            at = np.arange(len(index))
+            going = rank[at, best] < NEVER if rank.shape[1] else np.zeros(len(index), bool)
+            if not going.all():
+                for i, row in zip(index[~going].tolist(), rows[~going].tolist(), strict=True):
+                    done[i] = [names[s] for s in row if s >= 0]
+                index, rows, rank, piece, best = (x[going] for x in (index, rows, rank, piece, best))
+                at = np.arange(len(index))
+                if not len(index):
+                    break
+            new = piece[at, best]
+            # A merged pair takes a place less: what lies behind it moves up by one.
+            behind = np.arange(rank.shape[1]) > best[:, None]
+            rows = np.where(behind, rows[:, 1:], rows[:, :-1])
+            rows[at, best] = new
+            # The pair at a place is now the one that was behind it.
+            rank = np.where(behind[:, 1:], rank[:, 1:], rank[:, :-1])
+            piece = np.where(behind[:, 1:], piece[:, 1:], piece[:, :-1])
+            for place, ok in ((best - 1, best > 0), (best, best < rank.shape[1])):
+                own, col = at[ok], place[ok]
+                left, right = rows[own, col], rows[own, col + 1]
+                left = np.where(left < len(self.symbols), left, -1)
+                right = np.where(right < len(self.symbols), right, -1)
+                rank[own, col], piece[own, col] = self._rank_of(left, right)
+        return done
+
     def _surface(self, i: int) -> bytes:
         if self.kinds[i] == CONTROL:
             return b""
@@ -269,38 +361,54 @@ class Encoder:
         self.head, self.tail = struct.pack("<I", m.bos), struct.pack("<I", m.eos)
         self.plain = not m.map.units and not m.squeeze and m.escape and m.dummy_prefix
 
-    def units(self, normal: str) -> list[tuple[bytes, bytes]]:
-        """Ids and source widths of the units of a text."""
-        model, new, old = self.model, self.new, self.old
-        units = model.unit.findall(normal)
-        for unit in set(units).difference(new):
-            found = old.get(unit)
+    def learn(self, units: set[str]) -> None:
+        """Merges the units that aren't kept, all in step."""
+        model, new = self.model, self.new
+        missing = []
+        for unit in units.difference(new):
+            found = self.old.get(unit)
             if found is None:
-                parts = [model.packed(p) for p in model.merge(unit)]
-                found = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-            new[unit] = found
-        told = [new[unit] for unit in units]
-        if len(new) > KEPT_UNITS:
-            self.old, self.new = new, {}
+                missing.append(unit)
+            else:
+                new[unit] = found
+        at = 1 if self.plain else 2
+        for unit, parts in zip(missing, model.merge_in_step(missing), strict=True):
+            packed = [model.packed(p) for p in parts]
+            new[unit] = b"".join([p[0] for p in packed]), b"".join([p[at] for p in packed])
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Of each text the packed ids, and the packed source ends of their pieces."""
+        model, split = self.model, self.model.unit.findall
+        normals, backs, units = [], [], []
+        for text in texts:
+            if not text:
+                normal, back = "", None
+            elif self.plain and SPACE not in text:
+                normal, back = SPACE + text.replace(" ", SPACE), None
+            else:
+                normal, back = model.normalise(text)
+            normals.append(normal)
+            backs.append(back)
+            units.append(split(normal))
+        self.learn(set().union(*units))
+        kept, told = self.new, []
+        for text, back, own in zip(texts, backs, units, strict=True):
+            found = [kept[unit] for unit in own]
+            if back is None:
+                ends = np.cumsum(np.frombuffer(b"".join([u[1] for u in found]), "<u4")) - 1
+                # less 1: the space put in front is in no source
+            else:
+                wide = [u[1] for u in found]
+                if self.plain:  # what is kept are source bytes of texts that weren't normalised
+                    wide = [model.packed(p)[2] for u in own for p in model.merge(u)]
+                ends = back[np.cumsum(np.frombuffer(b"".join(wide), "<u4"), dtype=np.int64)]
+            ids = b"".join([self.head, *[u[0] for u in found], self.tail])
+            size = len(text.encode())
+            told.append((ids, np.concatenate(([0], ends, [size])).astype("<u4").tobytes()))
+        if len(kept) > KEPT_UNITS:
+            self.old, self.new = kept, {}
         return told
 
-    def encode(self, text: str) -> tuple[bytes, bytes]:
-        """Packed ids, and the packed source ends of their pieces."""
-        model, size = self.model, len(text.encode())
-        if not text:
-            units, ends = [], np.zeros(0, np.int64)
-        elif self.plain and SPACE not in text:
-            units = self.units(SPACE + text.replace(" ", SPACE))
-            ends = np.cumsum(np.frombuffer(b"".join([u[1] for u in units]), "<u4")) - 1
-            # less 1: the space put in front is in no source
-        else:
-            normal, back = model.normalise(text)
-            units = self.units(normal)
-            wide = [model.packed(p)[2] for u in model.unit.findall(normal) for p in model.merge(u)]
-            ends = back[np.cumsum(np.frombuffer(b"".join(wide), "<u4"), dtype=np.int64)]
-        ids = b"".join([self.head, *[u[0] for u in units], self.tail])
-        return ids, np.concatenate(([0], ends, [size])).astype("<u4").tobytes()
-
 
 _ENCODERS: dict[bytes, Encoder] = {}
 
@@ -311,12 +419,9 @@ def _encoder(data: bytes):
     encode, model = _ENCODERS[data].encode, _ENCODERS[data].model
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, ends, back = [], [], []
-        for text in batch.column("text").to_pylist():
-            packed, end = encode(text or "")
-            ids.append(packed)
-            ends.append(end)
-            back.append(model.decode(np.frombuffer(packed, "<u4").tolist()))
+        told = encode([text or "" for text in batch.column("text").to_pylist()])
+        ids, ends = [t[0] for t in told], [t[1] for t in told]
+        back = [model.decode(np.frombuffer(packed, "<u4").tolist()) for packed in ids]
         kept = {name: batch.column(name) for name in batch.schema.names if name != "text"}
         new = {
             "ids": pa.array(ids, pa.binary()),

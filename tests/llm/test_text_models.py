@@ -156,6 +156,46 @@ def test_pieces_against_the_library(spark):
     assert rows(encode_pieces(docs(spark), MODEL)) == []
 
 
+def test_units_merged_in_step_are_those_merged_alone():
+    with open(MODEL, "rb") as file:
+        model = PieceModel(file.read())
+    rnd = random.Random(6)
+    letters = "abcdeghinorst é日▁\n😀0ß"
+    units = ["".join(rnd.choices(letters, k=rnd.randint(1, 90))) for _ in range(2000)] + ["a", "x" * 60, "e" * 61]
+    assert model.merge_in_step(units) == [model.merge(u) for u in units]
+    assert model.merge_in_step([]) == [] and model.merge_in_step(["é"]) == [model.merge("é")]
+
+
+def _sized(number, data):
+    size, out = len(data), bytearray([number << 3 | 2])
+    while size > 127:
+        out.append(size & 127 | 128)
+        size >>= 7
+    return bytes([*out, size]) + data
+
+
+def test_a_model_with_a_real_map_against_the_library(spark, tmp_path):
+    """The registered model's pieces behind the map of NFKC: every text goes through it."""
+    from ledgerloom.llm.pieces import _fields
+
+    proto = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()
+    blob = next(dict(_fields(v)) for k, v in _fields(proto) if k == 3)[2]
+    with open(MODEL, "rb") as file:
+        plain = file.read()
+    for squeeze in (0, 1):
+        data = plain + _sized(3, _sized(2, blob) + bytes([3 << 3, 1, 4 << 3, squeeze, 5 << 3, 1]))
+        path = tmp_path / f"mapped-{squeeze}.model"
+        path.write_bytes(data)
+        library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+        texts = [*fuzz(600), "ﬁ①é Ａ b　x ㍿", "ｶﾞ " * 500, "  a  b  ", "　", None, ""]
+        found = encode_pieces(docs(spark, *[(i, t, None) for i, t in enumerate(texts)]), str(path)).collect()
+        for r in found:
+            text = texts[r.doc_id] or ""
+            assert np.frombuffer(r.ids, "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True), text
+            ends = np.frombuffer(r.ends, "<u4").astype(int)
+            assert ends[0] == 0 and ends[-1] == len(text.encode()) and (np.diff(ends) >= 0).all()
+
+
 def test_a_compiled_character_map(spark):
     """Longest prefixes of a real map give the library's normal form, with its places."""
     library = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
