@@ -155,6 +155,10 @@ class PieceModel:
             if p[:k] in number and p[k:] in number
         )
         self.pairs, self.joined = np.array(pairs, np.int64).reshape(-1, 2).T.copy()
+        self.symbol_ids = np.array([self.ids.get(p, -1) for p in self.symbols], "<i4")
+        sizes = [(len(p.encode()), 2 * p.count(SPACE)) for p in self.symbols]
+        self.symbol_wide = np.array([n for n, _ in sizes], "<u4")
+        self.symbol_source = np.array([n - less for n, less in sizes], "<u4")
         self.ranks = np.unique([self.order[p] for p in self.ids], return_inverse=True)[1]
 
     def _rank_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,24 +171,29 @@ class PieceModel:
         piece = self.joined[at]
         return np.where(real, self.ranks[piece], NEVER), piece
 
-    def merge_in_step(self, units: list[str]) -> list[list[str]]:
-        """The pieces of each unit, as ``merge`` finds them, one merge of every unit at a time.
+    def merge_in_step(self, units: list[str]) -> Iterator[tuple[list[str], list[str], np.ndarray, np.ndarray]]:
+        """The pieces of all units, as ``merge`` finds them, some thousand units at a time.
 
-        A unit is a row of symbols; of each row the pair of the least rank, the leftmost of
+        Gives units, the texts of symbols by number, the symbols of these units one after
+        the other, and how many each unit has. One merge of every unit is done at a time: a
+        unit is a row of symbols; of each row the pair of the least rank, the leftmost of
         equals, becomes one symbol and what follows moves up.
         """
-        out: list[list[str]] = [[]] * len(units)
-        order = sorted(range(len(units)), key=lambda i: len(units[i]))
-        while order and len(units[order[-1]]) > SHORT_UNIT:
-            i = order.pop()
-            out[i] = self._merge_long(units[i])
-        for start in range(0, len(order), UNITS_IN_STEP):
-            some = order[start : start + UNITS_IN_STEP]
-            for i, parts in zip(some, self._merge_rows([units[i] for i in some]), strict=True):
-                out[i] = parts
-        return out
-
-    def _merge_rows(self, units: list[str]) -> list[list[str]]:
+        units = sorted(units, key=len)
+        n = len(units)
+        while n and len(units[n - 1]) > SHORT_UNIT:
+            n -= 1
+            parts = self._merge_long(units[n])
+            names = list(dict.fromkeys(parts))
+            number = {p: i for i, p in enumerate(names)}
+            flat = np.array([number[p] for p in parts])
+            # Numbers of its own: none of them is taken for a symbol of the model.
+            yield [units[n]], [""] * len(self.symbols) + names, flat + len(self.symbols), np.array([len(parts)])
+        for start in range(0, n, UNITS_IN_STEP):
+            some = units[start : min(n, start + UNITS_IN_STEP)]
+            yield some, *self._merge_rows(some)
+
+    def _merge_rows(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         sizes = np.array([len(u) for u in units])
         width = int(sizes.max())
         joined = "".join(units)
@@ -198,15 +207,14 @@ class PieceModel:
         rows[live] = codes
         known = np.where(rows < len(self.symbols), rows, -1)
         rank, piece = self._rank_of(known[:, :-1], known[:, 1:])
-        done: list[list[str]] = [[]] * len(units)
+        done = np.full_like(rows, -1)
         index = np.arange(len(units))
         while len(index):
             best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(index), np.int64)
             at = np.arange(len(index))
             going = rank[at, best] < NEVER if rank.shape[1] else np.zeros(len(index), bool)
             if not going.all():
-                for i, row in zip(index[~going].tolist(), rows[~going].tolist(), strict=True):
-                    done[i] = [names[s] for s in row if s >= 0]
+                done[index[~going], : rows.shape[1]] = rows[~going]
                 index, rows, rank, piece, best = (x[going] for x in (index, rows, rank, piece, best))
                 at = np.arange(len(index))
                 if not len(index):
@@ -225,7 +233,7 @@ class PieceModel:
                 left = np.where(left < len(self.symbols), left, -1)
                 right = np.where(right < len(self.symbols), right, -1)
                 rank[own, col], piece[own, col] = self._rank_of(left, right)
-        return done
+        return names, done[done >= 0], (done >= 0).sum(axis=1)
 
     def _surface(self, i: int) -> bytes:
         if self.kinds[i] == CONTROL:
@@ -371,10 +379,24 @@ class Encoder:
                 missing.append(unit)
             else:
                 new[unit] = found
+        sizes = model.symbol_source if self.plain else model.symbol_wide
         at = 1 if self.plain else 2
-        for unit, parts in zip(missing, model.merge_in_step(missing), strict=True):
-            packed = [model.packed(p) for p in parts]
-            new[unit] = b"".join([p[0] for p in packed]), b"".join([p[at] for p in packed])
+        for some, names, flat, counts in model.merge_in_step(missing):
+            ends = np.cumsum(counts)
+            # Symbols that are no pieces: their ids are those of bytes, or the unknown one.
+            known = np.minimum(flat, len(sizes) - 1)
+            odd = (flat >= len(sizes)) | (model.symbol_ids[known] < 0)
+            if odd.any():
+                strange = np.add.reduceat(odd, ends - counts) > 0
+            else:
+                strange = np.zeros(len(some), bool)
+            ids, wide = model.symbol_ids[known].tobytes(), sizes[known].tobytes()
+            low, high = (4 * (ends - counts)).tolist(), (4 * ends).tolist()
+            for unit, a, b in zip(some, low, high, strict=True):
+                new[unit] = ids[a:b], wide[a:b]
+            for i in np.flatnonzero(strange).tolist():
+                packed = [model.packed(names[s]) for s in flat[ends[i] - counts[i] : ends[i]].tolist()]
+                new[some[i]] = b"".join([p[0] for p in packed]), b"".join([p[at] for p in packed])
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Of each text the packed ids, and the packed source ends of their pieces."""

@@ -162,8 +162,12 @@ def test_units_merged_in_step_are_those_merged_alone():
     rnd = random.Random(6)
     letters = "abcdeghinorst é日▁\n😀0ß"
     units = ["".join(rnd.choices(letters, k=rnd.randint(1, 90))) for _ in range(2000)] + ["a", "x" * 60, "e" * 61]
-    assert model.merge_in_step(units) == [model.merge(u) for u in units]
-    assert model.merge_in_step([]) == [] and model.merge_in_step(["é"]) == [model.merge("é")]
+    found = {}
+    for some, names, flat, counts in model.merge_in_step(units):
+        parts = iter([names[s] for s in flat])
+        found |= {unit: [next(parts) for _ in range(n)] for unit, n in zip(some, counts, strict=True)}
+    assert found == {u: model.merge(u) for u in units}
+    assert list(model.merge_in_step([])) == []
 
 
 def _sized(number, data):
