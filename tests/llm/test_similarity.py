@@ -79,6 +79,23 @@ def test_jaccard_against_brute_force(spark, monkeypatch, bucket, sample):
     assert {r[0]: tuple(r) for r in found.collect()} == linked_by_hand(records)
 
 
+@pytest.mark.parametrize("edits", [1, 2])
+def test_a_large_group_just_under_and_over_the_similarity(spark, monkeypatch, edits):
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", 6)
+    rnd = random.Random(edits)
+    base = [f"w{i}" for i in range(70)]
+    records = []
+    for i in range(150):
+        words = list(base)
+        for k in rnd.sample(range(70), rnd.randint(edits, edits + 2)):
+            words[k] = f"x{i}-{k}"
+        records.append((i, " ".join(words)))
+    expected = linked_by_hand(records)
+    assert len({root for _, _, root in expected.values()}) > 1
+    found = jaccard_components(docs(spark, records)).collect()
+    assert {r[0]: tuple(r) for r in found} == expected
+
+
 def test_jaccard_of_repeated_rows_and_null_keys(spark):
     text, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(61))
     records = [(5, text), (5, text), (5, near), (5, "other words of five"), (None, text), (7, None), (8, "x")]
