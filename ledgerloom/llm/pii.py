@@ -10,6 +10,7 @@ never given back, which changes no match because the next character can't be of
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -81,6 +82,8 @@ KINDS = [
 ]
 BASE_KINDS = [k.name for k in KINDS[:4]]
 CONTEXT_CHARS, CONTEXT_BONUS = 40, 0.3
+#: Code points of the blocks from which a text with spans is cut.
+BLOCK = 1024
 PROPOSED = (
     "array<struct<start: int, kind_no: int, end: int, kind: string, value: string, score: double>>"
 )
@@ -137,30 +140,43 @@ def _confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """The joined values up to each place of an array that isn't empty, in log n steps.
+
+    Each step joins to a value the one twice as far before it as in the last step. Adding
+    places one by one to an array would copy it each time.
+    """
+
+    def step(acc: Column, k: Column) -> Column:
+        far = F.pow(F.lit(2), k).cast("int")
+        return F.transform(acc, lambda x, i: F.when(i >= far, join(x, F.get(acc, i - far))).otherwise(x))
+
+    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(values))).cast("int"))
+    return F.aggregate(steps, values, step)
+
+
 def _spans(number: int, kind: Kind, found: Column, text: Column) -> Column:
     """The confirmed spans of one kind, from its matches and the text between them."""
     gaps = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))
-    init = F.struct(F.lit(0).alias("at"), F.array().cast(PROPOSED).alias("spans"))
+    sizes = F.zip_with(gaps, found, lambda gap, value: F.length(gap) + F.length(value))
+    ends = _running(sizes, lambda x, y: x + y)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
+    def span(x: Column) -> Column:
         near = F.lower(F.right(x["gap"], F.lit(CONTEXT_CHARS))).rlike(kind.context)
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, CONTEXT_BONUS).otherwise(0.0))
-        span = F.struct(
-            start.alias("start"),
+        return F.struct(
+            (x["end"] - F.length(x["value"])).alias("start"),
             F.lit(number).alias("kind_no"),
-            end.alias("end"),
+            x["end"].alias("end"),
             F.lit(kind.name).alias("kind"),
             x["value"].alias("value"),
             score.alias("score"),
         )
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("value"))
-    placed = F.aggregate(pairs, init, step, lambda acc: acc["spans"])
+    triples = F.arrays_zip(gaps.alias("gap"), found.alias("value"), ends.alias("end"))
     return F.filter(
-        placed, lambda s: _confirmed(kind.name, s["value"]) & (s["score"] >= kind.least)
+        F.transform(triples, span),
+        lambda s: _confirmed(kind.name, s["value"]) & (s["score"] >= kind.least),
     )
 
 
@@ -218,36 +234,52 @@ def redact(docs: DataFrame, text: str = "text", least_score: float = 0.5) -> Dat
     found = find_pii(rows, "text", "spans").withColumn(
         "spans", F.filter("spans", lambda s: s["score"] >= least_score)
     )
-    init = F.array().cast("array<struct<start: int, end: int, kind: string>>")
-
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        whole = F.struct(
-            last["start"].alias("start"),
-            F.greatest(last["end"], s["end"]).alias("end"),
-            last["kind"].alias("kind"),
-        )
-        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(whole))
-        alone = F.concat(acc, F.array(F.struct(s["start"], s["end"], s["kind"])))
-        return F.when((F.size(acc) > 0) & (s["start"] < last["end"]), joined).otherwise(alone)
+    # A span begins a stretch if all before it have ended; the stretch ends where the last
+    # span before the next stretch's does.
+    some = F.size("spans") > 0
+    reach = F.when(some, _running(F.transform("spans", lambda s: s["end"]), F.greatest))
+    reached = found.withColumn("reach", reach)
+    numbered = F.transform("spans", lambda s, i: F.struct(s["start"], s["kind"], i.alias("i")))
+    begins = F.filter(
+        numbered, lambda s: (s["i"] == 0) | (s["start"] >= F.get("reach", s["i"] - 1))
+    )
+    begun = reached.withColumn("begins", F.when(some, begins))
+
+    def end_of(j: Column) -> Column:
+        after = F.get("begins", j + 1)["i"]
+        return F.get("reach", F.coalesce(after, F.size("spans")) - 1)
 
-    merged = found.withColumn("spans", F.aggregate("spans", init, merge))
     value = F.col("text")
+    # The text in blocks of code points: what lies between stretches is cut from few of them,
+    # not counted from the text's start each time.
+    blocks = F.regexp_extract_all(value, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    cuttable = begun.withColumns(
+        {
+            "stretches": F.transform(
+                "begins",
+                lambda s, j: F.struct(s["start"].alias("start"), end_of(j).alias("end"), s["kind"].alias("kind")),
+            ),
+            "blocks": F.when(some, blocks),
+        }
+    )
+
+    def cut(start: Column, end: Column) -> Column:
+        first = F.floor(start / BLOCK).cast("int")
+        many = F.floor(end / BLOCK).cast("int") - first + 1
+        near = F.array_join(F.slice("blocks", first + 1, many), "")
+        return F.substring(near, start - first * BLOCK + 1, end - start)
+
     before = F.transform(
-        "spans",
+        "stretches",
         lambda s, i: F.concat(
-            F.substring(
-                value,
-                F.when(i > 0, F.get("spans", i - 1)["end"]).otherwise(0) + 1,
-                s["start"] - F.when(i > 0, F.get("spans", i - 1)["end"]).otherwise(0),
-            ),
+            cut(F.when(i > 0, F.get("stretches", i - 1)["end"]).otherwise(0), s["start"]),
             F.lit("["),
             F.upper(s["kind"]),
             F.lit("]"),
         ),
     )
-    tail = F.substring(value, F.element_at("spans", -1)["end"] + 1, F.length(value))
-    clean = F.when(F.size("spans") > 0, F.concat(F.array_join(before, ""), tail)).otherwise(value)
-    return merged.select(
+    tail = cut(F.element_at("stretches", -1)["end"], F.length(value))
+    clean = F.when(some, F.concat(F.array_join(before, ""), tail)).otherwise(value)
+    return cuttable.select(
         *[clean.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
     )

@@ -76,3 +76,32 @@ def test_redaction(spark):
         ("mail [EMAIL] or [PHONE]!",), (None,), ("clean é text",), ("",), ("[EMAIL]",), ("clean é text",),
     ]
     assert rows(redact(docs.limit(0))) == []
+
+
+def redact_by_hand(text, found):
+    out, at, until, kind = [], 0, None, None
+    for s in [s for s in found if s.score >= 0.5]:
+        if until is not None and s.start < until:
+            until = max(until, s.end)
+            continue
+        if until is not None:
+            out.append(f"[{kind.upper()}]")
+            at = until
+        out.append(text[at : s.start])
+        until, kind = s.end, s.kind
+    if until is not None:
+        out.append(f"[{kind.upper()}]")
+        at = until
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_overlapping_and_very_many_spans(spark):
+    rnd = random.Random(4)
+    bits = ["a@b.com", "1.2.3.4@x.org", "4111 1111 1111 1111", "+1 (212) 555-0100", "+41 4111111111111111", "😀", "é ", " ", "\n", "x" * 1500]
+    texts = ["".join(rnd.choices(bits, k=rnd.randint(1, 60))) for _ in range(300)]
+    texts += ["a@b.c " * 16_000, "😀 a@b.c,+1 212 555 0100 " * 2_000, "é" * 5000 + " a@b.c"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n long, text string")
+    found = {r.n: r.spans for r in find_pii(table).collect()}
+    for r in redact(table).collect():
+        assert r.text == redact_by_hand(texts[r.n], found[r.n])
+    assert len(found[300]) == 16_000 and found[300][-1].end == 16_000 * 6 - 1
