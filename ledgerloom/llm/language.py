@@ -3,7 +3,9 @@
 A phrase is the longest piece of the document, from where the last one ended, that occurs
 anywhere in a language's sample. A suffix automaton of the sample finds it: every path
 from its start is a piece of the sample. Related text gives few long phrases, foreign text
-many short ones.
+many short ones. A phrase of a longer sample takes more bits to point at, so phrases count
+with the logarithm of the sample's size: a language with little labelled text, whose phrases
+are shorter for that alone, isn't put at a disadvantage.
 
 Texts are lower-cased; a run of anything but letters is one space. The samples are a fitted
 classifier's training data and bounded (``SAMPLE_CHARS`` a language); what is predicted is
@@ -71,6 +73,7 @@ def _automaton_of(samples: pd.DataFrame) -> pd.DataFrame:
     rows = [(s, c, t) for s, moves in enumerate(states) for c, t in moves.items()]
     frame = pd.DataFrame(rows, columns=["state", "char", "target"])
     frame.insert(0, "lang", samples.lang.iloc[0])
+    frame["size"] = len(joined)
     return frame
 
 
@@ -94,6 +97,8 @@ class Parser:
         self.lookup = np.zeros(max(map(ord, alphabet)) + 2, np.int32)
         for c, i in self.code.items():
             self.lookup[ord(c)] = i
+        sizes = moves.groupby("lang")["size"].first().reindex(self.langs)
+        self.bits = np.log2(sizes.to_numpy(float) + 1)  # that a phrase takes, by language
         width, tables, self.starts, base = len(alphabet) + 1, [], [], 0
         for lang in self.langs:
             own = moves[moves.lang == lang]
@@ -161,13 +166,16 @@ def _predictor(moves: pd.DataFrame, keep_text: bool = False):
         score, rate = np.zeros(len(texts)), np.zeros(len(texts))
         if letters.any():
             counts = parser.phrases(texts)
-            ranked = np.sort(counts, axis=1)
-            best = np.where(letters, counts.argmin(axis=1), best)
+            costs = counts * parser.bits
+            ranked = np.sort(costs, axis=1)
+            first = costs.argmin(axis=1)
+            best = np.where(letters, first, best)
             second = ranked[:, min(1, ranked.shape[1] - 1)]
-            won = 1 - ranked[:, 0] / np.maximum(second, 1) if ranked.shape[1] > 1 else 1.0
+            won = 1 - ranked[:, 0] / np.where(second > 0, second, 1.0) if ranked.shape[1] > 1 else 1.0
             score = np.where(letters, won, 0.0)
             sizes = np.array([len(t) for t in texts])
-            rate = np.where(letters, ranked[:, 0] / np.maximum(sizes, 1), 0.0)
+            fewest = counts[np.arange(len(texts)), first]
+            rate = np.where(letters, fewest / np.maximum(sizes, 1), 0.0)
         names = [name for name in batch.schema.names if keep_text or name != "text"]
         kept = {name: batch.column(name) for name in names}
         new = {
@@ -205,7 +213,7 @@ def fit_languages(labelled: DataFrame, key: str = "doc_id") -> pd.DataFrame:
         .agg(F.min(F.left("text", F.lit(SAMPLE_CHARS))).alias("text"))
     )
     moves = sample.groupBy("lang").applyInPandas(
-        _automaton_of, "lang string, state long, char string, target long"
+        _automaton_of, "lang string, state long, char string, target long, size long"
     )
     return moves.toPandas()
 
@@ -213,9 +221,9 @@ def fit_languages(labelled: DataFrame, key: str = "doc_id") -> pd.DataFrame:
 def identify_languages(docs: DataFrame, moves: pd.DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep``, and ``lang_pred``, ``score`` and ``phrase_rate`` of every row.
 
-    ``score`` is the share of phrases that the winner saves over the next language (1 with
-    a single language); ``phrase_rate`` is the winner's phrases for each character. Of
-    languages with equally many phrases the first by name wins, with score 0. A null text,
+    ``score`` is the share of the phrases' bits that the winner saves over the next language (1
+    with a single language); ``phrase_rate`` is the winner's phrases for each character. Of
+    languages with equally many bits the first by name wins, with score 0. A null text,
     or one without a letter, is ``und`` with score 0, as is every text if nothing was
     learned. Only ``text`` is looked at. Repeated rows are rows like others; an empty table
     gives an empty result.

@@ -43,6 +43,22 @@ def test_held_out_accuracy(spark):
     assert total > 200 and right / total > 0.98
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
+def test_a_language_with_little_labelled_text(spark):
+    """600 characters of one language, full samples of the others: it is still told."""
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    learn = table.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).where("lang is not null")
+    little = learn.where("lang = 'es'").orderBy("doc_id").limit(5).toPandas()
+    short = " ".join(little.text)[:600]
+    learn = learn.where("lang != 'es'").select("doc_id", "text", "lang").union(
+        spark.createDataFrame([(-1, short, "es")], "doc_id long, text string, lang string")
+    )
+    found = identify_languages(table, fit_languages(learn), "doc_id", "lang")
+    found = found.where(held_out(F.col("doc_id")) & (F.col("lang") == "es"))
+    right, total = found.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert total > 10 and right / total > 0.97
+
+
 def phrases_by_hand(text, sample):
     count = 0
     for at in range(0, len(text), PIECE_CHARS):
