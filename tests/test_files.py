@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import glob
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import CUSTOMERS, ORDERS, PRODUCTS, read_csv, read_json, read_workbooks
 from tests.conftest import bag
-from trial import files
+from trial import files, suite
 
 
 @pytest.mark.parametrize(
@@ -41,3 +44,35 @@ def test_files_come_back_whole(spark, tmp_path, monkeypatch, write, read, table,
 
 def test_workbook_columns_go_past_z():
     assert [files.letters(n) for n in (1, 26, 27, 52, 703)] == ["A", "Z", "AA", "AZ", "AAA"]
+
+
+def test_json_arrays_are_files_of_bounded_rows(spark, tmp_path):
+    df = spark.range(0, 11, numPartitions=2).select(F.col("id").cast("string").alias("Order ID"))
+    files.write_json_arrays(df, str(tmp_path / "out"), rows=2)
+    arrays = [json.loads(file.read_text()) for file in (tmp_path / "out").glob("part-*")]
+    assert sorted(len(array) for array in arrays) == [1, 2, 2, 2, 2, 2]
+    assert sorted(int(row["Order ID"]) for array in arrays for row in array) == list(range(11))
+
+
+def test_compressed_order_lines_are_small_files_and_come_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 3)
+    df = spark.range(0, 8, numPartitions=1).select(
+        [F.col("id").cast(c.source_type).alias(c.source) for c in ORDERS.columns]
+    )
+    for write, multi_line in ((files.write_json_arrays, True), (files.write_json_lines, False)):
+        path = str(tmp_path / write.__name__)
+        write(df, path, "gzip")
+        assert len(glob.glob(f"{path}/part-*.gz")) == 3
+        for split in (True, False):
+            assert bag(read_json(spark, path, ORDERS, multi_line=multi_line, split=split)) == bag(df)
+
+
+def test_ranged_orders_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One task used to take all order lines to write them as one file."""
+    source = spark.range(0, 40, numPartitions=4).select(
+        [F.col("id").cast(c.source_type).alias(c.source) for c in ORDERS.columns]
+    )
+    monkeypatch.setattr(suite, "work_dir", lambda spark, label: str(tmp_path))
+    monkeypatch.setattr(suite.shapes, "orders_source", lambda spark, sf_dir: source)
+    assert bag(suite.src_orders_json_ranges(spark, "")) == bag(source)
+    assert len(glob.glob(f"{tmp_path}/files/Orders.json/part-*")) == 4

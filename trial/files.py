@@ -9,13 +9,17 @@ from io import BytesIO
 from xml.sax.saxutils import escape
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_WORKBOOK = 100_000
+#: Order lines of a file: some 25 MB, and 4 MB if compressed.
+ROWS_PER_FILE = 100_000
 
 NAMESPACE = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 RELATIONS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -25,26 +29,47 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.options(header=True, quote='"', escape='"').csv(path)
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
-    """One file per partition, each a single JSON array, streamed row by row."""
+def write_json_arrays(
+    df: DataFrame, path: str, compression: str = "none", rows: int | None = None
+) -> None:
+    """Files of a bounded number of rows, each a single JSON array, streamed in batches."""
     objects = df.select(F.to_json(F.struct("*")).alias("value"))
-    objects.mapInPandas(array_lines, "value string").write.text(path)
+    rows = rows or ROWS_PER_FILE
+    lines = objects.mapInArrow(lambda batches: array_lines(batches, rows), "value string")
+    # An array's closing bracket is a line of its own.
+    _write_bounded(lines, rows + 1, compression).text(path)
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    df.write.json(path)
+def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> None:
+    """One object per line. Compressed files, which Spark doesn't split, are of bounded size."""
+    _write_bounded(df, 0 if compression == "none" else ROWS_PER_FILE, compression).json(path)
 
 
-def array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    opening = "["
+def _write_bounded(df: DataFrame, lines: int, compression: str) -> DataFrameWriter:
+    return df.write.options(
+        maxRecordsPerFile=lines, compression=compression, **{"zlib.compress.level": "BEST_SPEED"}
+    )
+
+
+def array_lines(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The lines of arrays of so many objects; the last one may have fewer."""
+    written = 0
+
+    def lines(texts: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([texts.cast(pa.string())], names=["value"])
+
     for batch in batches:
-        if len(batch):
-            lines = "," + batch["value"]
-            lines.iloc[0] = opening + batch["value"].iloc[0]
-            opening = ","
-            yield lines.to_frame("value")
-    if opening == ",":
-        yield pd.DataFrame({"value": ["]"]})
+        objects = batch.column(0)
+        while len(objects):
+            part, objects = objects.slice(0, rows - written), objects.slice(rows - written)
+            before = pa.array([","] * len(part) if written else ["[", *[","] * (len(part) - 1)])
+            yield lines(pc.binary_join_element_wise(before, part.cast(pa.string()), ""))
+            written += len(part)
+            if written == rows:
+                yield lines(pa.array(["]"]))
+                written = 0
+    if written:
+        yield lines(pa.array(["]"]))
 
 
 def write_workbooks(df: DataFrame, path: str) -> None:

@@ -41,6 +41,8 @@ from trial.files import write_csv, write_json_arrays, write_json_lines, write_wo
 
 #: Rows of a hot product's slice in the trial.
 HOT_PIECE_ROWS = 20
+#: Order lines of a file that is read in ranges, some 200 MB, and the most bytes of a range.
+RANGED_ROWS, RANGE_BYTES = 1_000_000, "32m"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,8 +70,12 @@ def src_products_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @contextmanager
 def ranges(spark: SparkSession, least: int) -> Iterator[None]:
-    """Lets Spark divide files into at least so many ranges, whatever their size."""
-    settings = {"spark.sql.files.minPartitionNum": str(least), "spark.sql.files.openCostInBytes": "1"}
+    """Lets Spark divide files into at least so many ranges, and large ones into more."""
+    settings = {
+        "spark.sql.files.minPartitionNum": str(least),
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.files.maxPartitionBytes": RANGE_BYTES,
+    }
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
@@ -81,19 +87,20 @@ def ranges(spark: SparkSession, least: int) -> Iterator[None]:
 
 
 def src_products_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file with quoted line breaks, read by many tasks."""
+    """Files with quoted line breaks, each read by many tasks."""
     mart = Mart(spark, work_dir(spark, "products-csv-ranges"))
     products = product_names_with_quoting(shapes.products_source(spark, sf_dir))
-    write_csv(products.coalesce(1), f"{mart.data_dir}/files/Products.csv")
+    write_csv(products, f"{mart.data_dir}/files/Products.csv")
     with ranges(spark, 16):
         mart.write_products_raw(mart.read_products_csv())
     return mart.read_raw(PRODUCTS)
 
 
 def src_orders_json_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file that is one JSON array, read by many tasks."""
+    """Files that are one JSON array each, each read by many tasks."""
     mart = Mart(spark, work_dir(spark, "orders-json-ranges"))
-    write_json_arrays(shapes.orders_source(spark, sf_dir).coalesce(1), f"{mart.data_dir}/files/Orders.json")
+    orders = shapes.orders_source(spark, sf_dir)
+    write_json_arrays(orders, f"{mart.data_dir}/files/Orders.json", rows=RANGED_ROWS)
     with ranges(spark, 16):
         mart.write_orders_raw(mart.read_orders_json())
     return mart.read_raw(ORDERS)
@@ -162,7 +169,7 @@ def mart_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over files with one record per line, which Spark splits."""
+    """The same over files with one record per line, the orders' compressed."""
     data_dir = work_dir(spark, "mart-lines")
     write_csv(shapes.products_source(spark, sf_dir), f"{data_dir}/files/Products.csv")
     write_workbooks(shapes.customers_source(spark, sf_dir), f"{data_dir}/files/Customer.xlsx")
