@@ -55,6 +55,11 @@ def merged_parts(prefix: str) -> dict[str, str]:
     }
 
 
+def stored_parts(prefix: str) -> dict[str, str]:
+    """Stored aggregates as they are, where nothing is to be added up."""
+    return {name: f"{prefix}_{name}" for name in sum_parts("x")}
+
+
 def rounded_total(parts: dict[str, str], places: int = 2) -> str:
     """The exact sum, rounded half up once, as a double; null where no value was summed."""
     part = {name: f"coalesce({parts[name]}, 0)" for name in ("low", "middle", "high", "millionths")}

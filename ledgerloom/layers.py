@@ -147,7 +147,8 @@ def _write_version(df: DataFrame, path: str, made_from: str | None) -> Version:
     version = Version(f"{number:08d}-{uuid.uuid4().hex[:12]}", before and before.name, made_from)
     target = version_path(path, version)
     try:
-        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
+        options = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true", "compression": "zstd"}
+        df.write.options(**options).parquet(target)
     except Exception:
         paths.delete(spark, target)
         for folder in (f"{path}/{VERSIONS}", path):  # of a table that never was

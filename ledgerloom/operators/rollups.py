@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.exact import merged_parts, rounded_total, sum_parts
+from ledgerloom.functions.exact import merged_parts, rounded_total, stored_parts, sum_parts
 
 OnError = Literal["raise", "none"]
 
@@ -29,11 +29,12 @@ CUSTOMER = ("customer_name", "customer")
 PROFIT_PARTS = sum_parts("profit")
 TOTAL_PROFIT = (rounded_total(PROFIT_PARTS), "total_profit")
 ORDER_COUNT = ("count(order_id)", "order_count")
-# The same measures over cells, by name.
+# The same measures over cells, by name, and those of a group that is a single cell.
 OVER_CELLS = {
     "total_profit": rounded_total(merged_parts("profit")),
     "order_count": "sum(order_count)",
 }
+OF_CELL = {"total_profit": rounded_total(stored_parts("profit")), "order_count": "order_count"}
 
 
 @dataclass(frozen=True)
@@ -83,18 +84,29 @@ def are_cells(df: DataFrame) -> bool:
     return "profit_low" in df.columns
 
 
-def rollup(fact: DataFrame, spec: Rollup, on_error: OnError = "raise") -> DataFrame | None:
+def rollup(
+    fact: DataFrame, spec: Rollup, on_error: OnError = "raise", single: bool = False
+) -> DataFrame | None:
     """Run a rollup over the fact, or over cells of it.
 
-    ``on_error="none"`` gives None when a column is missing.
+    ``on_error="none"`` gives None when a column is missing. With ``single`` every group is known
+    to be one cell, as over the cells of one fact by all of their keys; nothing is shuffled
+    to group them again.
     """
     try:
         cells = are_cells(fact)
         where = spec.cells_where if cells else spec.where
         rows = fact.where(where) if where else fact
-        grouped = rows.groupBy([F.expr(name if cells else e).alias(name) for e, name in spec.keys])
-        measures = [(OVER_CELLS[name] if cells else e, name) for e, name in spec.measures]
-        totals = grouped.agg(*[F.expr(e).alias(name) for e, name in measures])
+        if cells and single:
+            if spec.keys != PROFIT_INFO.keys:
+                raise ValueError("cells are single by all of their keys only")
+            totals = rows.select(
+                *[name for _, name in spec.keys], *[F.expr(OF_CELL[name]).alias(name) for _, name in spec.measures]
+            )
+        else:
+            grouped = rows.groupBy([F.expr(name if cells else e).alias(name) for e, name in spec.keys])
+            measures = [(OVER_CELLS[name] if cells else e, name) for e, name in spec.measures]
+            totals = grouped.agg(*[F.expr(e).alias(name) for e, name in measures])
         ordered = totals.orderBy([_sort_key(term) for term in spec.order])
         _ = ordered.schema
         return ordered
@@ -129,9 +141,14 @@ def rollup_sql(fact: DataFrame, spec: Rollup, on_error: OnError = "raise") -> Da
         raise
 
 
-def profit_info(fact: DataFrame, on_error: OnError = "raise") -> DataFrame | None:
-    """Profit and order lines by year, category, sub-category and customer."""
-    return rollup(fact, PROFIT_INFO, on_error)
+def profit_info(
+    fact: DataFrame, on_error: OnError = "raise", single: bool = False
+) -> DataFrame | None:
+    """Profit and order lines by year, category, sub-category and customer.
+
+    ``single`` says that ``fact`` is ``profit_cells`` of one fact, not of several put together.
+    """
+    return rollup(fact, PROFIT_INFO, on_error, single)
 
 
 def profit_by_year(fact: DataFrame, on_error: OnError = "raise") -> DataFrame | None:

@@ -203,10 +203,12 @@ class Mart:
     def read_profit_cells(self) -> DataFrame:
         return self._load("aggregated", "profit_cells", PROFIT_CELLS_SCHEMA)
 
-    def create_profit_info(self, order_fact_df: DataFrame, made_from: str | None = None) -> bool:
-        """Store the profit info of a fact, or of its cells."""
+    def create_profit_info(
+        self, order_fact_df: DataFrame, made_from: str | None = None, single: bool = False
+    ) -> bool:
+        """Store the profit info of a fact, or of its cells (``single`` if they are of one fact)."""
         return self._store_built(
-            "aggregated", "profit_info", lambda: rollups.profit_info(order_fact_df), made_from
+            "aggregated", "profit_info", lambda: rollups.profit_info(order_fact_df, single=single), made_from
         )
 
     def read_profit_info(self) -> DataFrame:
@@ -387,7 +389,7 @@ def build_mart(
         "aggregated",
         "profit_info",
         journal.version("aggregated", "profit_cells"),
-        lambda stamp: mart.create_profit_info(cells, stamp),
+        lambda stamp: mart.create_profit_info(cells, stamp, single=True),
     )
     log.info("made %s", journal.made)
     return MartTables(

@@ -274,3 +274,10 @@ def test_a_folder_without_data_is_missing(spark, path):
     assert load_table(spark, path, SCHEMA, on_missing="empty").count() == 0
     with pytest.raises(FileNotFoundError):
         load_table(spark, path, SCHEMA)
+
+
+def test_tables_are_stored_with_a_strong_compression(spark, tmp_path):
+    path = str(tmp_path / "table")
+    store_table(spark.range(3), path)
+    assert list((tmp_path / "table").glob("_versions/*/part-*.zstd.parquet"))
+    assert load_table(spark, path, spark.range(3).schema).count() == 3

@@ -173,14 +173,14 @@ def mart_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     data_dir = work_dir(spark, "mart-lines")
     write_csv(shapes.products_source(spark, sf_dir), f"{data_dir}/files/Products.csv")
     write_workbooks(shapes.customers_source(spark, sf_dir), f"{data_dir}/files/Customer.xlsx")
-    write_json_lines(shapes.orders_source(spark, sf_dir), f"{data_dir}/files/Orders.json")
+    write_json_lines(shapes.orders_source(spark, sf_dir), f"{data_dir}/files/Orders.json", "gzip")
     return build_mart(spark, data_dir, multi_line=False).profit_info
 
 
 def write_source_files(spark: SparkSession, sf_dir: str, data_dir: str) -> None:
     write_csv(shapes.products_source(spark, sf_dir), f"{data_dir}/files/Products.csv")
     write_workbooks(shapes.customers_source(spark, sf_dir), f"{data_dir}/files/Customer.xlsx")
-    write_json_arrays(shapes.orders_source(spark, sf_dir), f"{data_dir}/files/Orders.json")
+    write_json_arrays(shapes.orders_source(spark, sf_dir), f"{data_dir}/files/Orders.json", "gzip")
 
 
 # facts
