@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Files that Spark never divides, whatever their size.
+UNDIVIDED = r"\.(gz|deflate)$"
+
 #: More brackets than any file opens.
 NONE = 1 << 60
 
@@ -85,17 +88,22 @@ class Range(NamedTuple):
     terminated: bool | None  # whether the file ends with a delimiter; None if it is compressed
 
 
-def read_pieces(spark: SparkSession, path: str, delimiter: str) -> DataFrame:
-    """The text between delimiters, with the file and the range in which it begins, in order."""
-    return (
-        spark.read.option("lineSep", delimiter)
-        .text(path)
-        .select(
-            "value",
-            F.xxhash64("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.col("_metadata.file_size").alias("size"),
-        )
+def read_pieces(
+    spark: SparkSession, path: str, delimiter: str, undivided: int | None = None
+) -> DataFrame:
+    """The text between delimiters, with the file and the range in which it begins, in order.
+
+    With ``undivided`` only of files that Spark may divide: these are larger than that.
+    """
+    files = spark.read.option("lineSep", delimiter).text(path)
+    if undivided is not None:  # by what is listed of a file; the others aren't opened
+        whole = F.col("_metadata.file_name").rlike(UNDIVIDED)
+        files = files.where((F.col("_metadata.file_size") > undivided) & ~whole)
+    return files.select(
+        "value",
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata.file_size").alias("size"),
     )
 
 
@@ -150,8 +158,7 @@ def _known_ranges(spark: SparkSession, path: str, scanner: Scanner) -> dict[tupl
         return _sum_up(batches, scanner)
 
     sums = (
-        read_pieces(spark, path, scanner.delimiter)
-        .where(F.col("size") > undivided)
+        read_pieces(spark, path, scanner.delimiter, undivided)
         .mapInArrow(
             sum_up,
             "file long, start long, size long, bytes long, opening string, "

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from typing import Literal
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,23 +106,37 @@ def read_json(
     return or_empty(spark, table.source_schema, on_missing, read)
 
 
-#: What may stand before an object: the opening bracket, a comma, or nothing outside an array.
-_BEFORE_FIRST, _BEFORE_NEXT, _BEFORE_PLAIN = r"^\x{FEFF}?\s*\[\s*(?=\{)", r"^\s*,\s*(?=\{)", r"^\x{FEFF}?\s*(?=\{)"
 #: What may follow the last object of an array, be an array without any, or follow a plain object.
 _AFTER_LAST, _EMPTY, _BLANK = r"^\s*\]", r"^\x{FEFF}?\s*\[\s*\]", r"^\x{FEFF}?\s*$"
+_MARK, _SPACE = "\ufeff", " \t\n\x0b\f\r"
+
+
+def _bare(text: Column) -> Column:
+    return F.ltrim(text, F.lit(_SPACE))
+
+
+def _behind(text: Column, sign: str) -> Column:
+    """What follows ``sign`` and the space around it; null if something else comes first."""
+    return F.when(_bare(text).startswith(sign), _bare(_tail(_bare(text))))
+
+
+def _tail(text: Column) -> Column:
+    return F.substring(text, 2, 2**31 - 1)
 
 
 def _split_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The objects of arrays, parsed one by one; ``schema`` has the column of corrupt records."""
-    records = read_records(spark, path, JsonObjects())
-    in_array, first, last = F.col("outer") == 1, F.col("first"), F.col("last")
-    before = F.when(~in_array, _BEFORE_PLAIN).when(first, _BEFORE_FIRST).otherwise(_BEFORE_NEXT)
+    in_array, first, last, text = F.col("outer") == 1, F.col("first"), F.col("last"), F.col("text")
+    # Before an object stand the opening bracket, a comma, or nothing outside an array. These
+    # are string functions, as a pattern that depends on the row is compiled for each row.
+    unmarked = F.when(text.startswith(_MARK), _tail(text)).otherwise(text)
+    body = F.when(~in_array, _bare(unmarked)).when(first, _behind(unmarked, "[")).otherwise(_behind(text, ","))
+    records = read_records(spark, path, JsonObjects()).withColumn("body", F.when(~last, body))
     after = F.when(~in_array, _BLANK).when(first, _EMPTY).otherwise(_AFTER_LAST)
-    good = F.regexp(F.col("text"), before) & ~last
-    text = F.when(good, F.regexp_replace("text", before, ""))
-    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
-    rows = records.where(~(last & F.regexp(F.col("text"), after))).select(
-        parsed.alias("row"), F.when(~good, F.col("text")).alias("bad")
+    good = F.coalesce(F.col("body").startswith("{"), F.lit(False))
+    parsed = F.from_json(F.when(good, F.col("body")), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    rows = records.where(~(last & F.regexp(text, after))).select(
+        parsed.alias("row"), F.when(~good, text).alias("bad")
     )
     plain = [F.col("row")[name].alias(name) for name in schema.names if name != CORRUPT]
     return rows.select(*plain, F.coalesce("bad", F.col("row")[CORRUPT]).alias(CORRUPT))
