@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import CUSTOMERS, ORDERS, PRODUCTS, read_csv, read_json, read_workbooks
+from ledgerloom.sources.ranges import read_pieces
 from tests.conftest import bag
 from trial import files, suite
 
@@ -76,3 +77,11 @@ def test_ranged_orders_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(suite.shapes, "orders_source", lambda spark, sf_dir: source)
     assert bag(suite.src_orders_json_ranges(spark, "")) == bag(source)
     assert len(glob.glob(f"{tmp_path}/files/Orders.json/part-*")) == 4
+
+
+def test_compressed_files_are_not_looked_at_for_ranges(spark, tmp_path):
+    df = spark.range(0, 5, numPartitions=1).select(F.col("id").cast("string").alias("Order ID"))
+    for compression, pieces in (("gzip", 0), ("none", 6)):
+        path = str(tmp_path / compression)
+        files.write_json_arrays(df, path, compression)
+        assert read_pieces(spark, path, "}", undivided=1).count() == pieces
