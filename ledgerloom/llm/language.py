@@ -194,19 +194,18 @@ def fit_languages(labelled: DataFrame, key: str = "doc_id") -> pd.DataFrame:
     ``labelled`` has ``key``, ``text`` and ``lang``; rows without text or language are left
     out. From each language the text with the least hash of each of SAMPLE_TEXTS classes
     is taken (of equal rows one), then SAMPLE_CHARS characters of them. The choice is two
-    aggregates, so no language's rows meet in one task; what comes to the driver is bounded
-    by the number of languages.
+    aggregates, so no language's rows meet in one task; what is broadcast, SAMPLE_TEXTS numbers
+    a language, and what comes to the driver are bounded by the number of languages.
     """
     # Hashes differ for different rows, and by class only the least counts.
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
         "lang", "text", F.xxhash64(F.col(key), "text").alias("pick")
     )
-    chosen = rows.groupBy("lang", F.pmod("pick", F.lit(SAMPLE_TEXTS)).alias("class")).agg(
-        F.min("pick").alias("pick")
+    picks = (
+        rows.groupBy("lang", F.pmod("pick", F.lit(SAMPLE_TEXTS)).alias("class"))
+        .agg(F.min("pick").alias("pick"))
+        .select("lang", "pick")
     )
-    chosen = chosen.select("lang", "pick").toPandas()  # SAMPLE_TEXTS numbers a language
-    spark = labelled.sparkSession
-    picks = spark.createDataFrame(chosen, "lang string, pick long")
     sample = (
         rows.join(F.broadcast(picks), ["lang", "pick"])
         .groupBy("lang", "pick")

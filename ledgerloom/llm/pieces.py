@@ -18,9 +18,11 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import beside, over_slices
@@ -30,7 +32,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 #: Units of a generation: those of this and the last are kept. Only speed depends on it.
 KEPT_UNITS = 100_000
 #: Characters up to which units are merged in step, and how many at a time.
-SHORT_UNIT, UNITS_IN_STEP = 60, 16_384
+SHORT_UNIT, UNITS_IN_STEP = 60, 4_096
 
 #: The rank of a pair that doesn't merge.
 NEVER = np.iinfo(np.int64).max
@@ -360,7 +362,7 @@ class PieceModel:
 
 
 class Encoder:
-    """A model with the units it has merged lately. A Python worker keeps it between tasks."""
+    """A model with the units it has merged lately. A Python worker keeps it between a job's tasks."""
 
     def __init__(self, data: bytes):
         self.model = m = PieceModel(data)
@@ -432,12 +434,14 @@ class Encoder:
         return told
 
 
-_ENCODERS: dict[bytes, Encoder] = {}
+#: By the broadcast of their model: a worker lets go of a broadcast, and so of the encoder, when it
+#: is given a task that doesn't need it. Workers outlive jobs, and their memory is what others lack.
+_ENCODERS: WeakKeyDictionary[Broadcast, Encoder] = WeakKeyDictionary()
 
 
-def _encoder(data: bytes):
+def _encoder(data: Broadcast):
     if data not in _ENCODERS:
-        _ENCODERS[data] = Encoder(data)
+        _ENCODERS[data] = Encoder(data.value)
     encode, model = _ENCODERS[data].encode, _ENCODERS[data].model
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -471,6 +475,6 @@ def encode_pieces(docs: DataFrame, model: str, key: str = "doc_id") -> DataFrame
         data = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(key, "text")
     return rows.mapInArrow(
-        over_slices(lambda: _encoder(data.value)),
+        over_slices(lambda: _encoder(data)),
         beside(rows, "text", "ids binary, ends binary, decoded string"),
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import duckdb
@@ -176,3 +178,30 @@ def test_scratch_tables_go_with_their_stage(spark, small):
 
 def below(spark):
     return children(spark, f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
+
+
+ONE_DAEMON = """
+import sys
+import psutil
+from pyspark.sql import SparkSession
+import corpus_pipeline as pipeline
+
+folder = sys.argv[1]
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+read = f"{folder}/documents.parquet"
+for name, stage in pipeline.STAGES:
+    stage(spark, spark.read.parquet(read), folder).write.parquet(read := f"{folder}/one_daemon/{name}")
+java = psutil.Process(spark.sparkContext._gateway.proc.pid)
+print("DAEMONS", sum("pyspark.daemon" in " ".join(p.cmdline()) for p in java.children()))
+"""
+
+
+def test_stages_share_one_set_of_python_workers(small):
+    """Of every environment and kind of worker an executor keeps a daemon, and its workers for a minute."""
+    here = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    environment = os.environ | {"PYTHONPATH": os.pathsep.join(filter(None, [here, os.environ.get("PYTHONPATH")]))}
+    ran = subprocess.run(
+        [sys.executable, "-c", ONE_DAEMON, small[0]], env=environment, capture_output=True, text=True, timeout=300
+    )
+    assert ran.returncode == 0, ran.stderr[-2000:]
+    assert ran.stdout.split("DAEMONS")[1].split() == ["1"]

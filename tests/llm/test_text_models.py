@@ -2,14 +2,17 @@ from __future__ import annotations
 
 import os
 import random
+import time
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import pieces
 from ledgerloom.llm.decontaminate import GAP, MATCH, MISMATCH, align, find_leaks
 from ledgerloom.llm.language import (
     PIECE_CHARS,
@@ -231,3 +234,25 @@ def test_a_compiled_character_map(spark):
         assert normal == library.normalize(text)
         assert len(back) == len(normal.encode()) + 1 and back[-1] <= len(text.encode())
         assert (np.diff(back) >= 0).all()
+
+
+def test_a_worker_lets_its_encoder_go_with_the_job(spark):
+    table = docs(spark, *((i, f"word {i}", "x") for i in range(64))).repartition(8)
+    assert encode_pieces(table, MODEL).agg(F.sum(F.octet_length("ids"))).first()[0] > 0
+
+    def encoders(batches):
+        for batch in batches:
+            time.sleep(0.2)  # so that all workers get some
+            yield pa.RecordBatch.from_pydict({"held": pa.array([len(pieces._ENCODERS)] * batch.num_rows)})
+
+    held = spark.range(0, 32, 1, 32).mapInArrow(encoders, "held long")
+    assert {r.held for r in held.collect()} == {0}
+
+
+def test_an_encoder_is_kept_between_tasks(spark):
+    with open(MODEL, "rb") as file:
+        data = spark.sparkContext.broadcast(file.read())
+    pieces._encoder(data)
+    first = pieces._ENCODERS[data]
+    pieces._encoder(data)
+    assert pieces._ENCODERS[data] is first
