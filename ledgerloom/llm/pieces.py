@@ -34,6 +34,9 @@ KEPT_UNITS = 100_000
 #: Characters up to which units are merged in step, and how many at a time.
 SHORT_UNIT, UNITS_IN_STEP = 60, 4_096
 
+#: Characters of text taken at a time: each word of them is a string of its own meanwhile.
+ENCODED_CHARS = 500_000
+
 #: The rank of a pair that doesn't merge.
 NEVER = np.iinfo(np.int64).max
 
@@ -475,6 +478,6 @@ def encode_pieces(docs: DataFrame, model: str, key: str = "doc_id") -> DataFrame
         data = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(key, "text")
     return rows.mapInArrow(
-        over_slices(lambda: _encoder(data)),
+        over_slices(lambda: _encoder(data), chars=ENCODED_CHARS),
         beside(rows, "text", "ids binary, ends binary, decoded string"),
     )

@@ -13,6 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import pieces
+from ledgerloom.llm.common import over_slices
 from ledgerloom.llm.decontaminate import GAP, MATCH, MISMATCH, align, find_leaks
 from ledgerloom.llm.language import (
     PIECE_CHARS,
@@ -256,3 +257,23 @@ def test_an_encoder_is_kept_between_tasks(spark):
     first = pieces._ENCODERS[data]
     pieces._encoder(data)
     assert pieces._ENCODERS[data] is first
+
+
+def test_a_task_gives_its_freed_memory_back():
+    def held():
+        with open("/proc/self/status") as file:
+            return next(int(line.split()[1]) / 1024 for line in file if line.startswith("RssAnon"))
+
+    def make():
+        def work(batch):
+            nonlocal kept
+            blocks = [bytes(1000) for _ in range(100_000)]  # too small to be mapped one by one
+            kept = bytes(1000)  # the last of the heap stays in use
+            return batch if blocks else None
+
+        return work
+
+    kept, before = None, held()
+    batch = pa.RecordBatch.from_pydict({"text": ["a"]})
+    assert [b.num_rows for b in over_slices(make)(iter([batch]))] == [1]
+    assert held() - before < 40 and kept
