@@ -96,6 +96,32 @@ def test_a_large_group_just_under_and_over_the_similarity(spark, monkeypatch, ed
     assert {r[0]: tuple(r) for r in found} == expected
 
 
+def test_shingles_of_all_documents_are_counted(spark, monkeypatch):
+    """Also of tables larger than SAMPLE_DOCS, from which frequencies once came."""
+    import pyarrow as pa
+
+    from ledgerloom.llm.shingles import shingle_sets, word_names
+
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 16)
+    shared = {7: "some words of seven", 31: "Some words of many", 3: "words of too few"}
+    texts = [" ".join([f"a{i} b{i} c{i} d{i}", *(t for n, t in shared.items() if i < n)]) for i in range(400)]
+    frame = docs(spark, list(enumerate(texts))).repartition(5).selectExpr("doc_id AS key", "text")
+    table = jaccard._frequent(frame, 400, 4)
+    tokens, _ = shingle_sets(*word_names(pa.array(shared.values()), lower=True), 4)
+    found = table[jaccard._bucket(tokens, len(table))]
+    assert sorted(found) == [0, 7, 31]  # fewer than SAMPLE_LEAST aren't frequent
+
+
+def test_counts_of_large_tables_leave_out_what_every_bucket_has(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEAST_BUCKETS", 1 << 12)
+    monkeypatch.setattr(jaccard, "MOST_BUCKETS", 1 << 12)
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{rnd.random()}" for _ in range(203)) + " one of them all" for _ in range(300)]
+    frame = docs(spark, list(enumerate(texts))).selectExpr("doc_id AS key", "text")
+    table = jaccard._frequent(frame, 300, 4)
+    assert len(table) == 4096 and 250 < table.max() < 350 and (table > 0).sum() < 41
+
+
 def test_jaccard_of_repeated_rows_and_null_keys(spark):
     text, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(61))
     records = [(5, text), (5, text), (5, near), (5, "other words of five"), (None, text), (7, None), (8, "x")]
