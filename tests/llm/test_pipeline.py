@@ -139,6 +139,17 @@ def test_near_copies_against_a_five_word_brute_force(spark, monkeypatch, bucket,
     assert 1 not in found and 3 not in found and 4 in found
 
 
+def test_near_copies_counts_the_shingles_of_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 8)
+    tables = []
+    frequent = jaccard._frequent
+    monkeypatch.setattr(jaccard, "_frequent", lambda *a: tables.append(frequent(*a)) or tables[-1])
+    texts = [f"x{i} y{i} z{i} u{i} v{i}" + " a phrase of five words" * (i % 2) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert corpus_pipeline.near_copies(spark, docs, "").count() == 120
+    assert tables[0].max() == 60 and (tables[0] > 0).sum() == 1
+
+
 CLASHING = ["_spans", "_found_email", "found_email", "_matches", "matches", "spans", "row", "value", "_key", "doc", "gone"]
 
 
