@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import spread_key
 from ledgerloom.tables import ORDER_FACT
@@ -25,14 +28,17 @@ def order_fact(
     customer_slices: DataFrame | None = None,
     product_slices: DataFrame | None = None,
     piece_rows: int = PIECE_ROWS,
+    shuffled: Collection[str] = (),
 ) -> DataFrame:
     """Left-join customers and products to the order lines and round the profit.
 
     The keys in the result come from the dimensions, so a line without a match has a
     null key there. A dimension key held by several rows repeats the line for each.
 
-    No join hint is given: Spark broadcasts a dimension whose size, planned or seen at
-    run time, is below its threshold, and otherwise shuffles. In the shuffled form null
+    Spark broadcasts a dimension whose size, planned or seen at run time, is below its
+    threshold, and otherwise shuffles. The planned size is that of compressed files; of a
+    dimension whose key is in ``shuffled`` (see ``too_large_to_broadcast``) it is known to be
+    wrong, and only that one's join has a hint. In the shuffled form null
     keys are spread here, an often ordered key is split by adaptive execution, and a
     dimension key with very many rows is split here when ``dimension_slices`` of the
     dimension is given, best as a stored table, whose size Spark knows.
@@ -44,14 +50,37 @@ def order_fact(
         F.col("product_id").alias("_product_key"),
     )
     with_customer = _look_up(
-        lines, "_customer_key", customers.select(CUSTOMER_COLUMNS), customer_slices, piece_rows
+        lines, "_customer_key", customers.select(CUSTOMER_COLUMNS), customer_slices, piece_rows, shuffled
     )
     with_product = _look_up(
-        with_customer, "_product_key", products.select(PRODUCT_COLUMNS), product_slices, piece_rows
+        with_customer, "_product_key", products.select(PRODUCT_COLUMNS), product_slices, piece_rows, shuffled
     )
     return with_product.select(_FACT)
 
 
+def too_large_to_broadcast(customers: DataFrame, products: DataFrame) -> list[str]:
+    """Keys of the dimensions whose rows take more memory than Spark is set to broadcast.
+
+    Of stored tables Spark plans with the bytes of the files, which compression and columns that
+    are mostly null make many times smaller than the rows. Here the rows are summed up, by
+    a partial aggregate over the columns that are joined.
+    """
+    spark = customers.sparkSession
+    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if setting.startswith("-"):  # nothing is broadcast
+        return []
+    most = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting))
+    found = []
+    for dimension, columns in ((customers, CUSTOMER_COLUMNS), (products, PRODUCT_COLUMNS)):
+        texts = [c for c in columns if isinstance(dimension.schema[c].dataType, T.StringType)]
+        # Eight bytes a column and eight more, and texts beside them.
+        row = F.lit(8 + 8 * len(columns)) + sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in texts)
+        total = dimension.where(F.col(columns[0]).isNotNull()).agg(F.sum(row.cast("long"))).first()[0]
+        if (total or 0) > most:
+            found.append(columns[0])
+    return found
+
+
 def dimension_slices(dimension: DataFrame, key: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Keys with more than ``piece_rows`` rows, and over how many slices to deal these.
 
@@ -78,13 +107,22 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
 
 
 def _look_up(
-    lines: DataFrame, line_key: str, dimension: DataFrame, slices: DataFrame | None, piece_rows: int
+    lines: DataFrame,
+    line_key: str,
+    dimension: DataFrame,
+    slices: DataFrame | None,
+    piece_rows: int,
+    shuffled: Collection[str],
 ) -> DataFrame:
     key = dimension.columns[0]
+
+    def joinable(rows: DataFrame) -> DataFrame:
+        return rows.hint("merge") if key in shuffled else rows
+
     spread = spread_key(F.col(line_key), *SPREAD_BY)
     matches = (spread == F.col(key)) & F.col(line_key).isNotNull()
     if slices is None:
-        return lines.join(dimension, matches, "left")
+        return lines.join(joinable(dimension), matches, "left")
 
     # A hot key's rows are dealt over slices and its lines go to each slice. Equal rows
     # become one with a count first, and a count is cut into pieces of piece_rows, so that
@@ -117,7 +155,9 @@ def _look_up(
         F.explode(F.sequence(F.lit(0), slice_count - 1)).alias("_line_slice"),
     )
     joined = sliced_lines.join(
-        cold.unionByName(hot), matches & (F.col("_line_slice") == F.col("_dimension_slice")), "left"
+        joinable(cold.unionByName(hot)),
+        matches & (F.col("_line_slice") == F.col("_dimension_slice")),
+        "left",
     )
     # A key with several slices has a match in some of them; the others add nothing.
     found = joined.where((F.col("_slice_count") == 1) | F.col(key).isNotNull())

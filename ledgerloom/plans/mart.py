@@ -25,7 +25,7 @@ from ledgerloom.layers import (
 )
 from ledgerloom.operators import rollups
 from ledgerloom.operators.conform import OnBadValue, conform, watch_bad_values
-from ledgerloom.operators.fact import dimension_slices, order_fact
+from ledgerloom.operators.fact import dimension_slices, order_fact, too_large_to_broadcast
 from ledgerloom.sources import read_csv, read_json, read_workbooks
 from ledgerloom.tables import (
     CUSTOMERS,
@@ -166,7 +166,8 @@ class Mart:
         """Join and store the fact. Dimension keys with very many rows are looked for first.
 
         They are kept beside the fact while it is made, so that Spark knows how few they
-        are and chooses the joins with them by their size.
+        are and chooses the joins with them by their size. A dimension whose rows are more
+        than Spark broadcasts, however small its files, is shuffled.
         """
         path = table_path(self.data_dir, "enriched", "order_fact")
         at = {key: paths.sibling(path, f"slices-{key}") for key in ("customer_id", "product_id")}
@@ -183,6 +184,7 @@ class Mart:
                 products_df,
                 slices(customers_df, "customer_id"),
                 slices(products_df, "product_id"),
+                shuffled=too_large_to_broadcast(customers_df, products_df),
             )
 
         try:

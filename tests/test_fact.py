@@ -11,11 +11,14 @@ from ledgerloom import (
     ORDER_FACT,
     ORDERS,
     PRODUCTS,
+    Mart,
     dimension_slices,
     order_fact,
     repeated_keys,
 )
 from ledgerloom.functions import spread_key
+from ledgerloom.operators.fact import too_large_to_broadcast
+from ledgerloom.plans import mart
 from tests.conftest import CUSTOMER_ROWS, ORDER_ROWS, PRODUCT_ROWS, bag, rows
 
 D = datetime.date
@@ -254,3 +257,36 @@ def test_dimension_rows_without_a_key_are_not_shuffled(spark, shuffled_joins, tm
 
 def test_customer_rows_are_the_declared_ones(customers):
     assert customers.schema == CUSTOMERS.schema and bag(customers) == sorted(CUSTOMER_ROWS, key=repr)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 10_001])
+def test_a_dimension_of_small_files_and_many_rows_is_not_broadcast(
+    spark, tmp_path, monkeypatch, orders, products, hot_rows
+):
+    """Its planned size, of compressed files, is below the threshold; its rows aren't."""
+    made = []
+    monkeypatch.setattr(mart, "order_fact", lambda *a, **k: made.append(order_fact(*a, **k)) or made[-1])
+    fields = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in CUSTOMERS.schema[3:]]
+    named = "'the same name' AS customer_name", "CAST(NULL AS string) AS email", *fields
+    ids = spark.range(20_000).selectExpr("concat('K', id) AS customer_id", *named)
+    many = ids.unionByName(spark.range(hot_rows).selectExpr("'HOT' AS customer_id", *named))
+    many.write.parquet(str(tmp_path / "c"))
+    products.write.parquet(str(tmp_path / "p"))
+    stored, few = (spark.read.parquet(str(tmp_path / n)) for n in "cp")
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "500KB")
+    try:
+        planned = stored.select("customer_id", "customer_name", "country")._jdf.queryExecution().optimizedPlan().stats()
+        assert int(str(planned.sizeInBytes())) < 500 * 1024
+        assert too_large_to_broadcast(stored, few) == ["customer_id"]
+        found = Mart(spark, str(tmp_path))
+        found.create_order_fact(stored, orders, few)
+        plan = made[0]._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert too_large_to_broadcast(stored, few) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    joins = [line for line in plan.splitlines() if "Join" in line and "LeftOuter" in line]
+    assert sum("SortMergeJoin" in line and "customer_id" in line for line in joins) == 1
+    assert sum("BroadcastHashJoin" in line and "product_id" in line for line in joins) == 1
+    assert bag(found.read_order_fact()) == bag(order_fact(orders, many, products))
