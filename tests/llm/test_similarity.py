@@ -112,6 +112,21 @@ def test_shingles_of_all_documents_are_counted(spark, monkeypatch):
     assert sorted(found) == [0, 7, 31]  # fewer than SAMPLE_LEAST aren't frequent
 
 
+def test_a_slice_is_lowered_without_the_batch_that_it_is_part_of():
+    """Each slice once copied the text of its whole batch, several times as much as the slice."""
+    import pyarrow as pa
+
+    from ledgerloom.llm.common import lower_ascii
+
+    texts = ["AZ@[`{", "É ẞ Straße X", "", "LONG " * 10_000]
+    batch = pa.array(texts, pa.large_string())
+    for start, n in ((0, 4), (0, 2), (1, 2), (2, 1), (3, 1), (4, 0)):
+        part = batch.slice(start, n)
+        by_hand = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in texts[start : start + n]]
+        assert lower_ascii(part).to_pylist() == by_hand
+    assert lower_ascii(batch.slice(0, 3)).buffers()[2].size < 100
+
+
 def test_counts_of_large_tables_leave_out_what_every_bucket_has(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LEAST_BUCKETS", 1 << 12)
     monkeypatch.setattr(jaccard, "MOST_BUCKETS", 1 << 12)
